@@ -13,7 +13,7 @@ import sys
 from array import array
 from collections.abc import Iterable
 
-MAX_CACHED = 1_000_000
+MAX_CACHED = 300_000
 assert array("I").itemsize == 4 and sys.byteorder == "little"
 _ENCODERS: dict[str, "Encoder"] = {}
 
