@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import elias_fano, matroska, packing, secret_scan, separator_scan, toxicity
+from . import elias_fano, line_dedup, matroska, mixing, packing, secret_scan, separator_scan, spotsigs, toxicity
 
 QUERIES = {
     f.__name__: f
@@ -10,9 +10,12 @@ QUERIES = {
         separator_scan.op1_token_counts,
         toxicity.op2_toxicity,
         matroska.op3_media_columns,
+        line_dedup.op5_line_dedup,
+        mixing.op6_mixing,
         elias_fano.op7_token_files,
         packing.op8_packing,
+        spotsigs.op9_fingerprints,
         secret_scan.op10_secret_scan,
     )
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op5_line_dedup": line_dedup.OP5_SQL}
