@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import elias_fano, line_dedup, matroska, mixing, packing, secret_scan, separator_scan, spotsigs, toxicity
+from . import elias_fano, jaccard_join, line_dedup, matroska, mixing, packing, secret_scan, separator_scan, spotsigs, toxicity
 
 QUERIES = {
     f.__name__: f
@@ -10,6 +10,7 @@ QUERIES = {
         separator_scan.op1_token_counts,
         toxicity.op2_toxicity,
         matroska.op3_media_columns,
+        jaccard_join.op4_ngram_join,
         line_dedup.op5_line_dedup,
         mixing.op6_mixing,
         elias_fano.op7_token_files,
