@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import sqlite3
 import struct
@@ -9,7 +10,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 from ..operators.geometry import RINGS
@@ -43,8 +44,6 @@ def discover(folder: str) -> list[tuple[str, str, list[str], int, int]]:
 def _layers(path: str) -> list[tuple[str, str, list[str], int, int]]:
     size = os.path.getsize(path)
     if path.lower().endswith(".geojson"):
-        import json
-
         with open(path) as f:
             features = json.load(f)["features"]
         fields = list(dict.fromkeys(k for x in features for k in x.get("properties") or {}))
@@ -105,17 +104,9 @@ class GpkgReader(DataSourceReader):
         self.fields = [f.name for f in schema.fields if f.name not in ("fid", "rings")]
         self.names = [f.name for f in schema.fields]
         self.n = int(options.get("partitions", 8))
-        self.where: list[tuple[str, list]] = []
+        self.where: list[tuple[str, list]] = json.loads(options.get("where", "[]"))
         self.geometry = options.get("geometry", "geom")
 
-    def pushFilters(self, filters: list[Filter]):
-        for f in filters:
-            if isinstance(f, EqualTo) and f.attribute[0] in self.fields:
-                self.where.append((f.attribute[0], [f.value]))
-            elif isinstance(f, In) and f.attribute[0] in self.fields:
-                self.where.append((f.attribute[0], list(f.value)))
-            yield f  # Spark checks again: text and numbers compare otherwise in SQLite
-
     def partitions(self):
         with sqlite3.connect(f"file:{self.path}?mode=ro", uri=True) as db:
             low, high = db.execute(f'select min(rowid), max(rowid) from "{self.layer}"').fetchone()
@@ -148,10 +139,14 @@ class GpkgSource(DataSource):
         return GpkgReader(dict(self.options), schema)
 
 
-def read_gpkg(spark: SparkSession, path: str, layer: str, fields: dict[str, str], partitions: int = 8) -> DataFrame:
+def read_gpkg(spark: SparkSession, path: str, layer: str, fields: dict[str, str], partitions: int = 8, where: dict[str, list] | None = None) -> DataFrame:
+    """``fid, <fields>, rings``; ``where`` names the values that a field may have, for SQLite to look up.
+
+    They are an option of the source, not filters that Spark pushes: Spark keeps a pushed-down reader for other queries of the same table.
+    """
     spark.dataSource.register(GpkgSource)
     schema = ", ".join(["fid long", *[f"`{k}` {t}" for k, t in fields.items()], f"rings {RINGS}"])
-    return spark.read.format("gpkg").schema(schema).option("path", path).option("layer", layer).option("partitions", partitions).load()
+    return spark.read.format("gpkg").schema(schema).option("path", path).option("layer", layer).option("partitions", partitions).option("where", json.dumps(list((where or {}).items()))).load()
 
 
 def service_pages(region: str, total: int, page: int = 5000) -> list[dict]:
