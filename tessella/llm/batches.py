@@ -31,11 +31,23 @@ def task_id() -> int:
     return context.partitionId() if context else 0
 
 
+def numbered(df):
+    """``df`` with its columns named by place: names that clash, in case or altogether, do no harm."""
+    return df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+
+
+def place(df, name: str) -> str:
+    """The numbered name of the first column that is called ``name`` exactly."""
+    if name not in df.columns:
+        raise ValueError(f"a column {name} is needed")
+    return f"_{df.columns.index(name)}"
+
+
 def renamed(df, *columns: str):
-    """Only ``columns`` of ``df``, by exact name: extra columns, also ones whose names clash in case, stay out of the way."""
+    """Only ``columns`` of ``df``, by exact name: other columns stay out of the way, whatever they are called."""
     import pyspark.sql.functions as F
 
-    return df.select(*[F.col(f"`{c}`") for c in columns])
+    return numbered(df).select(*[F.col(place(df, c)).alias(c) for c in columns])
 
 
 def partitions(spark) -> int:

@@ -313,7 +313,7 @@ def ngram_components(docs: DataFrame, least: tuple[int, int] = LEAST, words: int
         shared = (F.col("chunks") > 1) & (F.row_number().over(Window.partitionBy("cluster").orderBy(F.xxhash64("h2"), "rep")) <= SHARED)
         if many.c > 1:
             everywhere = members.where("chunks > 1").select("rep", shared.alias("shared")).where("shared").select("rep")
-            dealt = sets.join(F.broadcast(everywhere).withColumn("shared", F.lit(True)), "rep", "left")  # SHARED rows for each cluster over CHUNK_TOKENS
+            dealt = sets.join(everywhere.withColumn("shared", F.lit(True)), "rep", "left")
             dealt = dealt.withColumn("chunk", F.explode(F.when(F.col("shared"), F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).otherwise(F.array(own))))
         else:
             dealt = sets.withColumn("chunk", F.lit(0).cast("long"))

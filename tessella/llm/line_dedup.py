@@ -13,6 +13,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from .batches import numbered, place, renamed
 from .store import written
 
 MAX_RATIO = 0.02
@@ -26,7 +27,7 @@ def _key(line: Column) -> Column:
 
 def boilerplate(docs: DataFrame, host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """``host, bad``: each host's boilerplate lines, as hashes."""
-    pages = docs.select(F.col(f"`{host}`").alias("host"), F.col("`text`").alias("text"))
+    pages = renamed(docs, host, "text").toDF("host", "text")
     lines = F.array_distinct(F.transform(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""), _key))
     counts = pages.select("host", F.explode(lines).alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
     totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).withColumnRenamed("host", "of")
@@ -37,17 +38,20 @@ def line_dedup(docs: DataFrame, host: str = "source", max_ratio: float = MAX_RAT
     """``docs`` without boilerplate lines; with ``counts``, two more columns ``n_lines`` and ``n_dropped``."""
     bad = written(boilerplate(docs, host, max_ratio, min_pages), "boilerplate").withColumnRenamed("host", "__host").withColumnRenamed("bad", "__bad")
     n = bad.agg(F.coalesce(F.sum(F.size("__bad")), F.lit(0)).alias("n")).first().n
-    joined = docs.join(F.broadcast(bad) if n <= BROADCAST_LINES else bad, F.col(f"`{host}`").eqNullSafe(F.col("__host")), "left")
-    lines = F.split(F.col("`text`"), "\n")
+    at = place(docs, "text")
+    old = F.col(at)
+    joined = numbered(docs).join(F.broadcast(bad) if n <= BROADCAST_LINES else bad, F.col(place(docs, host)).eqNullSafe(F.col("__host")), "left")
+    lines = F.split(old, "\n")
     kept = F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("__bad"), _key(x)))
-    text = F.when(F.col("__bad").isNull(), F.col("`text`")).otherwise(F.array_join(kept, "\n"))
-    ints = {c for c, t in docs.dtypes if c == "n_chars" and t in ("bigint", "int")}
-    out = [text.alias(c) if c == "text" else F.length(text).cast(dict(docs.dtypes)[c]).alias(c) if c in ints else F.col(f"`{c}`") for c in docs.columns]
+    text = F.when(F.col("__bad").isNull(), old).otherwise(F.array_join(kept, "\n"))
+    names = [f"_{i}" for i in range(len(docs.columns))]
+    sizes = {p: t for p, (c, t) in zip(names, docs.dtypes) if c == "n_chars" and t in ("bigint", "int")}
+    out = [text.alias(p) if p == at else F.length(text).cast(sizes[p]).alias(p) if p in sizes else F.col(p) for p in names]
     if counts:
         all_lines = F.size(F.filter(lines, lambda x: F.trim(x) != ""))
         dropped = F.when(F.col("__bad").isNull(), F.lit(0)).otherwise(F.size(lines) - F.size(kept))
         out += [F.greatest(F.coalesce(all_lines, F.lit(0)), F.lit(0)).cast("long").alias("n_lines"), F.greatest(F.coalesce(dropped, F.lit(0)), F.lit(0)).cast("long").alias("n_dropped")]
-    return joined.select(*out)
+    return joined.select(*out).toDF(*docs.columns, *(["n_lines", "n_dropped"] if counts else []))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

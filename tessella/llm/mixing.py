@@ -18,6 +18,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession, Window
 
+from .batches import numbered, place, renamed
 from .store import written
 
 WEIGHTS = (3, 1, 2)
@@ -32,7 +33,7 @@ PARTS = 10**6
 
 def sized(docs: DataFrame) -> DataFrame:
     """A written table ``doc_id, source, size``."""
-    return written(docs.select(F.col("`doc_id`").alias("doc_id"), F.col("`source`").alias("source"), F.coalesce(F.regexp_count(F.col("`text`"), F.lit(WORDS)), F.lit(0)).cast("long").alias("size")), "sizes")
+    return written(renamed(docs, "doc_id", "source", "text").select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size")), "sizes")
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -115,12 +116,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
 
 def mixed(docs: DataFrame) -> DataFrame:
     """``docs``, each row as often as its copies say; rows without copies go. Rows of one doc_id share its copies by their hash."""
-    names = docs.columns
+    names = [f"_{i}" for i in range(len(docs.columns))]
+    key, text = place(docs, "doc_id"), place(docs, "text")
     counted = mix(docs).select(F.col("doc_id").alias("__id"), F.row_number().over(Window.partitionBy("doc_id").orderBy("size", "copies")).alias("__k"), F.col("copies").alias("__copies"))
-    size = F.coalesce(F.regexp_count(F.col("`text`"), F.lit(WORDS)), F.lit(0))
-    rows = docs.withColumn("__n", F.row_number().over(Window.partitionBy("`doc_id`").orderBy(size, F.xxhash64("`text`"))))
-    joined = rows.join(counted, F.col("`doc_id`").eqNullSafe(F.col("__id")) & (F.col("__n") == F.col("__k")))
-    return joined.where("__copies > 0").withColumn("__copy", F.explode(F.expr("sequence(1L, __copies)"))).select(*[F.col(f"`{c}`") for c in names])
+    size = F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0))
+    rows = numbered(docs).withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(size, F.xxhash64(text))))
+    joined = rows.join(counted, F.col(key).eqNullSafe(F.col("__id")) & (F.col("__n") == F.col("__k")))
+    return joined.where("__copies > 0").withColumn("__copy", F.explode(F.expr("sequence(1L, __copies)"))).select(*names).toDF(*docs.columns)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

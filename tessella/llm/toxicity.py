@@ -19,9 +19,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyspark.sql.functions as F
+import pyspark.sql.types as T
 from pyspark.sql import DataFrame, SparkSession
 
-from .batches import renamed, slices
+from .batches import numbered, place, renamed, slices
 
 BITS = 20
 MAX_TRAIN = 12_000
@@ -91,12 +92,10 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> tup
 
 
 def score(docs: DataFrame, model: tuple[bytes, bytes, float] | None) -> DataFrame:
-    """``docs`` with ``score`` (double, 0 to 1) after its other columns, which keep their names and order."""
-    names = docs.columns
-    if "text" not in names:
-        raise ValueError("documents need a column text")
-    schema = docs.schema.add("score", "double") if "score" not in names else docs.drop("score").schema.add("score", "double")
-    kept = [c for c in names if c != "score"]
+    """``docs`` with ``score`` (double, 0 to 1) as its last column; a column of that name keeps its place and name too."""
+    text, rows = place(docs, "text"), numbered(docs)
+    kept = rows.columns
+    schema = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType())])
     model_ref = docs.sparkSession.sparkContext.broadcast(model)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,15 +107,15 @@ def score(docs: DataFrame, model: tuple[bytes, bytes, float] | None) -> DataFram
             bias = got[2]
         used = dense != 0
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, text):
                 out = []
-                for x in part.column("text").to_pylist():
+                for x in part.column(text).to_pylist():
                     at = features(x)
                     at = np.unique(at[used[at]])
                     out.append(float(bias + dense[at].sum(dtype=np.float64)))
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array(1 / (1 + np.exp(-np.clip(np.array(out, float), -700, 700))) if got else np.zeros(len(out)))], [*kept, "score"])
 
-    return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(apply, schema)
+    return rows.mapInArrow(apply, schema).toDF(*docs.columns, "score")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:

@@ -35,16 +35,17 @@ def labelled(n, seed=1):
 def test_toxicity(spark):
     docs, labels = labelled(900)
     docs += [(10_000, None, 0), (10_001, "", 0), (10_002, "vilewort " * 20_000, 0), (10_003, "the " * 50_000 + "grubface dungheap", 0), (None, "the", 0), (5, docs[5][1], 0)]
-    df = spark.createDataFrame(docs, "doc_id long, text string, Score int").repartition(5)
+    df = spark.createDataFrame(docs, "doc_id long, text string, Score int").toDF("doc_id", "text", "Text").repartition(5)
     lab = spark.createDataFrame([*labels, (3, 0, None), (77_777, 0, 1), (None, 0, 1), labels[2]], "doc_id long, quality int, toxic int")
     known = {i: y for i, _, y in labels}
-    rows = toxicity.toxicity(df.drop("Score"), lab).collect()
+    rows = toxicity.toxicity(df, lab).collect()
+    assert toxicity.toxicity(df.toDF("doc_id", "text", "score"), lab).columns == ["doc_id", "text", "score", "score"]
     assert len(rows) == len(docs) and all(0 <= x.score <= 1 for x in rows)
     score = {x.doc_id: x.score for x in rows}
     held = [i for i in known if zlib.crc32(str(i).encode()) % 5 == 0]
     assert sum((score[i] >= 0.5) == bool(known[i]) for i in held) >= 0.98 * len(held) and len(held) > 100
     assert score[10_000] == score[10_001] < 0.5 < min(score[10_002], score[10_003]) and score[None] < 0.5
-    again = {x.doc_id: x.score for x in toxicity.toxicity(df.drop("Score").repartition(2), lab).collect()}
+    again = {x.doc_id: x.score for x in toxicity.toxicity(df.repartition(2), lab).collect()}
     assert again == score
     model = toxicity.train(df, lab)
     assert len(model[0]) // 4 < 2000
@@ -66,7 +67,7 @@ def test_line_dedup(spark):
         rng.shuffle(lines)
         rows.append((i, host, "\n".join(lines), 5, "k"))
     rows += [(900, "a", None, None, "k"), (901, "a", "", 0, "k"), (902, "a", "menu", 4, "k"), (903, "d", "x " * 90_000, 5, "k"), (902, "a", "menu", 4, "k")]
-    df = spark.createDataFrame(rows, "doc_id long, source string, text string, n_chars long, host string")
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, n_chars long, host string").toDF("doc_id", "source", "text", "n_chars", "TEXT")
     seen, pages = defaultdict(Counter), Counter()
     for _, host, text, _, _ in rows:
         pages[host] += 1
@@ -113,7 +114,7 @@ def test_mixing(spark, n, salt, monkeypatch):
     rng = random.Random(n)
     rows = [(i, rng.choice([None, "", "a", "b", "b", "b", "Ü", "z"]), prose(rng, rng.choice([1, 3, 3, 50, 700])), "x") for i in range(n)]
     rows += [(9000 + i, "b", "same words here", "x") for i in range(200)] + [(9500, "empty", None, "x"), (9501, "empty", " \n", "x"), (9000, "b", "same words here", "x")]
-    df = spark.createDataFrame(rows, "doc_id long, source string, text string, size string").repartition(6)
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, size string").toDF("doc_id", "source", "text", "Source").repartition(6)
     got = mixing.mix(df).collect()
     size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
     sizes = Counter()
@@ -174,7 +175,7 @@ def test_fingerprints(spark, ranges, monkeypatch):
     rows = list(zip(ids, texts, texts)) + [(ids[3], texts[3], "again")]
     real = spotsigs.neighbours
     monkeypatch.setattr(spotsigs, "neighbours", lambda df, columns: real(df, columns, ranges))
-    got = {x.doc_id: x for x in spotsigs.fingerprints(spark.createDataFrame(rows, "doc_id long, text string, sigs string").repartition(5)).collect()}
+    got = {x.doc_id: x for x in spotsigs.fingerprints(spark.createDataFrame(rows, "doc_id long, text string, sigs string").toDF("doc_id", "text", "Text").repartition(5)).collect()}
     assert len(got) == len(texts)
     order = sorted(((i, t or "") for i, t, _ in rows), reverse=True)
     like = lambda a, b: len(a & b) / len(a | b)

@@ -55,7 +55,7 @@ ODD = [(1, None), (2, ""), (3, "  \n"), (4, "One"), (5, "one"), (6, "a b"), (900
 @pytest.mark.parametrize("chunk", [1 << 21, 700])
 def test_join(spark, least, words, chunk):
     rows = near_copies(3, 25, 12, (4, 90), 5) + ODD
-    df = spark.createDataFrame([(i, t, "n") for i, t in rows], "doc_id long, text string, N string")
+    df = spark.createDataFrame([(i, t, "n") for i, t in rows], "doc_id long, text string, N string").toDF("doc_id", "text", "Text")
     got = J.ngram_components(df, least, words, chunk)
     assert sorted((str(x.doc_id), x.n_shingles, x.component_id) for x in got.collect()) == brute(rows, *least, words)
 

@@ -47,7 +47,7 @@ def test_any_text(library, texts):
 
 def documents(spark, repeat=1):
     rows = [(i, t, "z") for i, t in enumerate([*ODD, "word " * 3000 + "x", "the cat sat on the mat\n" * 400])]
-    return spark.createDataFrame(rows * repeat, SCHEMA).repartition(3), rows * repeat
+    return spark.createDataFrame(rows * repeat, SCHEMA).toDF("doc_id", "text", "TEXT").repartition(3), rows * repeat
 
 
 def test_token_counts(spark, library):
