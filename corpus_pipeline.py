@@ -23,7 +23,8 @@ NEAR_WORDS, NEAR_LEAST = 5, (4, 5)
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under 0.5."""
-    return toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).where("score < 0.5").select(*docs.columns)
+    scored = toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).toDF(*docs.columns, "__score")
+    return scored.where("__score < 0.5").drop("__score")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
