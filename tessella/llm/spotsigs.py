@@ -1,6 +1,6 @@
 """SpotSigs: chains of content words that follow common-word anchors form a document's signature set.
 
-A spot is an anchor and the next ``CHAIN`` content words, whatever anchors stand between them. The fingerprint is the set of spots as
+A spot is an anchor and the next ``CHAIN`` content words, with ``GAP`` anchors at most before each of them. The fingerprint is the set of spots as
 sorted 32-bit hashes in hex. Sets are partitioned by their length, in steps of the least similarity, so that likes lie in the same or
 neighbouring partitions; their likeness is Jaccard's.
 
@@ -18,7 +18,10 @@ import math
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 
+from .batches import renamed
+
 CHAIN = 2
+GAP = 6
 LEAST = 0.8
 # Anchors, common words of English, French, Spanish and German.
 ANCHORS = (
@@ -31,12 +34,16 @@ ANCHORS = (
 
 def spots(text: Column, chain: int = CHAIN) -> Column:
     """The sorted signature set of a text, as array<int>."""
-    words = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
-    marked = F.regexp_replace(words, rf" (?=(?:{'|'.join(sorted(set(ANCHORS)))}) )", " ¶")
-    link = r"(?: ¶[^ ]+)* [^ ¶][^ ]*"
-    found = F.regexp_extract_all(marked, F.lit(rf" ¶(?=([^ ]+(?:{link}){{{chain}}}) )"), F.lit(1))
-    sigs = F.transform(found, lambda x: F.hash(F.regexp_replace(x, r" ¶[^ ]+", "")))
-    return F.array_sort(F.array_distinct(F.when(F.size(found) > 0, sigs).otherwise(F.array(F.hash(words)))))
+    words = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
+    tagged = F.array_join(F.transform(F.split(words, " "), lambda x: F.when(x.isin(*ANCHORS), F.concat(F.lit("¶"), x)).otherwise(x)), " ")
+    link = rf"(?: ¶[^ ]+){{0,{GAP}}} [^ ¶][^ ]*"
+    found = F.regexp_extract_all(F.concat(F.lit(" "), tagged, F.lit(" ")), F.lit(rf" ¶(?=([^ ]+(?:{link}){{{chain}}}) )"), F.lit(1))
+
+    def signed(x: Column) -> Column:
+        return F.when(F.size(x) > 0, F.transform(x, lambda y: F.hash(F.regexp_replace(y, r" ¶[^ ]+", "")))).otherwise(F.array(F.hash(words)))
+
+    # an array of one, so that what is found is found once
+    return F.array_sort(F.array_distinct(F.element_at(F.transform(F.array(found), signed), 1)))
 
 
 def fingerprint(sigs: Column) -> Column:
@@ -84,7 +91,7 @@ def neighbours(docs: DataFrame, columns: list[str], n_ranges: int | None = None)
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and its edited text, and their likenesses."""
-    docs = docs.select(F.col("`doc_id`").alias("doc_id"), F.coalesce(F.col("`text`"), F.lit("")).alias("text"))
+    docs = renamed(docs, "doc_id", "text").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = neighbours(docs.withColumn("sigs", spots(F.col("text"))), ["text", "sigs"])
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
