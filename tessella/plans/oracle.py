@@ -58,7 +58,17 @@ _NAMES = ["N45E014.lcv", "n46e013.LCV", "S01W002.lcv", "N45E14.lcv", "N45E014.bi
 _GOOD = r"regexp_full_match(upper(name), '[NS]\d{2}[EW]\d{3}\.LCV')"
 _TILE_LIST = "[" + ", ".join(f"'{t}'" for t in dims.TILES) + "]"
 
+def _fill_sql(rounds: int = 8) -> str:
+    """The fill with its rounds written out; the grid has targets with a donor within so many."""
+    out = f"WITH {LEGACY}, {OFFSETS}, s0 AS (SELECT *, inside AND cls IN (13, 14) AS todo FROM legacy)"
+    for k in range(rounds):
+        out += f""", n{k} AS (SELECT t.r, t.c, l.cls, count(*) AS k FROM s{k} t, o, s{k} l WHERE t.todo AND l.r = t.r + dr AND l.c = t.c + dc AND l.cls BETWEEN 1 AND 12 GROUP BY 1, 2, 3),
+b{k} AS (SELECT r, c, max_by(cls, row(k, -cls)) AS best FROM n{k} GROUP BY 1, 2), s{k + 1} AS (SELECT s.r, s.c, coalesce(best, cls) AS cls, inside, todo AND best IS NULL AS todo FROM s{k} s LEFT JOIN b{k} b USING (r, c))"""
+    return out + f" SELECT r, c, (CASE WHEN todo THEN 10 ELSE cls END)::BIGINT AS cls, inside FROM s{rounds}"
+
+
 SQL = {
+    "legacy_fill": _fill_sql(),
     "landcover_majority": f"WITH {NATURAL} SELECT r, c, cls::BIGINT AS cls, dominant, source, CASE WHEN cls <> 255 THEN cls ELSE coalesce({_case('legacy', dims.LEGACY_REMAP, 'legacy')}, 255) END::BIGINT AS final FROM x",
     "landcover_blocks": f"WITH {NATURAL}, b AS (SELECT DISTINCT r // 8 AS br, c // 8 AS bc FROM m) SELECT r, c, cls::BIGINT AS cls FROM nat JOIN b ON r // 8 = br AND c // 8 = bc",
     "class_histogram": f"WITH {NATURAL} SELECT 'T' AS tile, " + ", ".join(f"count(*) FILTER (inside AND cls = {c}) AS n{c:02d}" for c in range(15)) + " FROM x",
