@@ -12,22 +12,20 @@ def threshold_majority(sub: DataFrame, factor: int, thresholds: dict[int, float]
     """``tile, r, c, cls, dominant, source, water, bare`` of the cells that have a sub-sample.
 
     A class is eligible if its share of the whole cell reaches its threshold; the most frequent eligible class wins, of equals the
-    later one in the tie order. Without one the class is 255 and ``dominant`` 0. Both aggregates have the cell in their key: the second
-    one needs no shuffle of its own beyond the first one's partial sums.
+    later one in the tie order. Without one the class is 255 and ``dominant`` 0. One aggregate of a count a class: its buffers have a fixed
+    width, so it combines map-side in a hash table, and each cell is shuffled once.
     """
     n = factor * factor
     cell = sub.where(F.col("cls").between(0, 12)).select("tile", F.floor(F.col(row) / factor).cast("int").alias("r"), F.floor(F.col(col) / factor).cast("int").alias("c"), "cls")
-    counts = cell.groupBy("tile", "r", "c", "cls").agg(F.count(F.lit(1)).alias("k"))
-    least = dims.lookup({c: t * n for c, t in thresholds.items()}, F.col("cls"))
-    rank = dims.lookup(dims.TIE_RANK, F.col("cls"))
-    order = F.when(F.col("k") >= least, F.struct(F.col("k"), rank.alias("rank")))
-    of = lambda c: F.coalesce(F.sum(F.when(F.col("cls") == c, F.col("k"))), F.lit(0)) / F.lit(n)
-    best = counts.groupBy("tile", "r", "c").agg(F.max_by("cls", order).alias("best"), F.max(order).alias("top"), F.sum("k").alias("all"), of(0).alias("water"), of(12).alias("bare"))
+    counts = cell.groupBy("tile", "r", "c").agg(*[F.count_if(F.col("cls") == c).alias(f"k{c}") for c in range(13)])
+    ranked = [F.when((F.col(f"k{c}") > 0) & (F.col(f"k{c}") >= t * n), F.struct(F.col(f"k{c}").alias("k"), F.lit(dims.TIE_RANK[c]).alias("rank"), F.lit(c).alias("cls"))) for c, t in sorted(thresholds.items())]
+    best = counts.withColumn("best", F.greatest(*ranked))
+    total = sum((F.col(f"k{c}") for c in range(1, 13)), F.col("k0"))
     return best.select(
         "tile", "r", "c",
-        F.when(F.col("top").isNull(), F.lit(dims.NODATA)).otherwise(F.col("best")).alias("cls"),
-        (F.coalesce(F.col("top")["k"], F.lit(0)) / F.lit(n)).alias("dominant"),
-        (F.col("all") / F.lit(n)).alias("source"), "water", "bare",
+        F.coalesce(F.col("best")["cls"], F.lit(dims.NODATA)).alias("cls"),
+        (F.coalesce(F.col("best")["k"], F.lit(0)) / F.lit(n)).alias("dominant"),
+        (total / F.lit(n)).alias("source"), (F.col("k0") / F.lit(n)).alias("water"), (F.col("k12") / F.lit(n)).alias("bare"),
     )
 
 
