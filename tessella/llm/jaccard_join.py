@@ -7,7 +7,8 @@
    of another way of parting as well, and in the last way empty parts too: no link is lost. Signatures in common make clusters.
 3. Within a cluster the sets are ordered by one global order (frequent tokens first) and stored in a prefix tree. A set goes down the tree with its
    partial overlap, which all sets below share; a subtree is pruned if the overlap and the lesser of what remains on either side can't
-   reach what the smallest set below needs, or if all of it is in the set's component already.
+   reach what the smallest set below needs, if all of it is in the set's component already, or if no set below shares one of the rarest tokens
+   of which sets that link have one in common.
 4. A cluster over ``CHUNK_TOKENS`` is dealt over chunks, each with some sets that all chunks share; what isn't joined to the cluster's main component
    then meets every other chunk.
 
@@ -108,10 +109,10 @@ class Tree:
     """A prefix tree of sorted int32 arrays, its edges compressed. Members are numbered as they are added."""
 
     class Node:
-        __slots__ = ("seg", "kids", "low", "high", "ends", "rep", "same", "depth")
+        __slots__ = ("seg", "kids", "low", "high", "ends", "rep", "same", "depth", "up")
 
-        def __init__(self, seg, depth, rep):
-            self.seg, self.kids, self.depth, self.rep, self.same = seg, {}, depth, rep, True
+        def __init__(self, seg, depth, rep, up=None):
+            self.seg, self.kids, self.depth, self.rep, self.same, self.up = seg, {}, depth, rep, True, up
             self.low, self.high, self.ends = 1 << 60, 0, []
 
     def __init__(self, size: int, least: tuple[int, int] = LEAST):
@@ -119,6 +120,7 @@ class Tree:
         self.mark = np.zeros(size, bool)
         self.p, self.q = least
         self.above: list[int] = []
+        self.leaf: dict[int, Tree.Node] = {}
 
     def find(self, i: int) -> int:
         while self.above[i] != i:
@@ -140,10 +142,11 @@ class Tree:
                 node.rep = me
             if at == n:
                 node.ends.append(me)
+                self.leaf[me] = node
                 return
             kid = node.kids.get(int(s[at]))
             if kid is None:
-                kid = node.kids[int(s[at])] = Tree.Node(s[at:], n, me)
+                kid = node.kids[int(s[at])] = self.leaf[me] = Tree.Node(s[at:], n, me, node)
                 kid.low = kid.high = n
                 kid.ends.append(me)
                 return
@@ -151,37 +154,93 @@ class Tree:
             off = np.flatnonzero(kid.seg[:m] != s[at : at + m])
             m = int(off[0]) if len(off) else m
             if m < len(kid.seg):
-                top = Tree.Node(kid.seg[:m], node.depth + m, kid.rep)
+                top = Tree.Node(kid.seg[:m], node.depth + m, kid.rep, node)
                 top.low, top.high, top.same = kid.low, kid.high, kid.same
-                kid.seg = kid.seg[m:]
+                kid.seg, kid.up = kid.seg[m:], top
                 top.kids[int(kid.seg[0])] = kid
                 node.kids[int(s[at])] = kid = top
             node, at = kid, at + m
 
-    def links(self, s: np.ndarray, me: int, all_of_them: bool = False) -> Iterator[int]:
-        """Members that link with ``s``; one of each component that isn't ``me``'s is enough, as the caller joins them at once."""
+    def links(self, s: np.ndarray, me: int, some: list[int]) -> Iterator[int]:
+        """Those of the members ``some`` that link with ``s`` and aren't in ``me``'s component, which the caller joins with them at once.
+
+        Only paths to these members are walked, each node once.
+        """
         n, p, w = len(s), self.p, self.p + self.q
+        paths: set[int] = set()
+        for x in some:
+            node = self.leaf[x]
+            while node is not None and id(node) not in paths:
+                paths.add(id(node))
+                node = node.up
+        wanted = set(some)
         self.mark[s] = True
         stack = [(self.root, 0)]
         while stack:
             node, overlap = stack.pop()
-            if not all_of_them and node.rep >= 0 and node.same and self.find(node.rep) == self.find(me):
+            if node.rep >= 0 and node.same and self.find(node.rep) == self.find(me):
                 continue
             if w * overlap >= p * (n + node.depth):
                 for x in node.ends:
-                    if all_of_them or self.find(x) != self.find(me):
+                    if x in wanted and self.find(x) != self.find(me):
                         yield x
-            some = []
+            below = []
             for kid in node.kids.values():
+                if id(kid) not in paths:
+                    continue
                 o = overlap + int(np.count_nonzero(self.mark[kid.seg]))
                 rest = min(n - int(np.searchsorted(s, kid.seg[-1], "right")), kid.high - kid.depth)
                 if w * (o + rest) >= p * (n + kid.low) and kid.high * self.q >= n * self.p and kid.low * self.p <= n * self.q:
-                    some.append((kid, o))
-            some.sort(key=lambda x: x[1])
-            stack += some
+                    below.append((kid, o))
+            below.sort(key=lambda x: x[1])
+            stack += below
         self.mark[s] = False
 
 
+class Prefixes:
+    """Members by the tokens of which sets that link must share one: the rarest ones of each set, which are its last."""
+
+    def __init__(self, tree: Tree):
+        self.tree, self.by = tree, {}
+
+    def of(self, s: np.ndarray) -> list[int]:
+        least = -(-len(s) * self.tree.p // self.tree.q)
+        return s[least - 1 :].tolist() if len(s) else []
+
+    def add(self, s: np.ndarray, me: int) -> None:
+        for token in self.of(s):
+            self.by.setdefault(token, {}).setdefault(self.tree.find(me), []).append(me)
+
+    def near(self, s: np.ndarray, me: int) -> dict[int, list[list[int]]]:
+        """Lists of members by their component, for those that aren't ``me``'s."""
+        out: dict[int, list[list[int]]] = {}
+        own = self.tree.find(me)
+        for token in self.of(s):
+            for root, members in self.by.get(token, {}).items():
+                if (root := self.tree.find(root)) != own:
+                    out.setdefault(root, []).append(members)
+        return out
+
+
+def linked(tree: Tree, prefixes: Prefixes, s: np.ndarray, me: int, step: int = 16) -> Iterator[int]:
+    """Members that link with ``s``, one at least of each component that has any; a component is done with its first link."""
+    for root, lists in prefixes.near(s, me).items():
+        seen: set[int] = set()
+        batch: list[int] = []
+        for members in [*lists, None]:
+            for x in members or ():
+                if x not in seen:
+                    seen.add(x)
+                    batch.append(x)
+            while len(batch) >= step or members is None and batch:
+                if tree.find(root) == tree.find(me):
+                    break
+                yield from tree.links(s, me, batch[:step])
+                batch = batch[step:]
+            if tree.find(root) == tree.find(me):
+                break
+
+
 def local_join(sets: list[np.ndarray], labels: list[int] | None = None, probes: int = 0, least: tuple[int, int] = LEAST) -> list[tuple[int, int]]:
     """Links (i, j) that connect every component of ``sets``, not all links.
 
@@ -199,6 +258,7 @@ def local_join(sets: list[np.ndarray], labels: list[int] | None = None, probes:
         x.sort()
     tree = Tree(len(names), least)
     tree.above = list(range(len(sets)))
+    prefixes = Prefixes(tree)
     if labels is not None:
         first: dict[int, int] = {}
         for i, x in enumerate(labels):
@@ -206,12 +266,13 @@ def local_join(sets: list[np.ndarray], labels: list[int] | None = None, probes:
     out = []
     for i, s in enumerate(coded):
         if labels is None or i >= len(sets) - probes:
-            for j in tree.links(s, i):
+            for j in linked(tree, prefixes, s, i):
                 if tree.find(i) != tree.find(j):
                     tree.join(i, j)
                     out.append((i, j))
         if labels is None or i < len(sets) - probes:
             tree.add(s, i)
+            prefixes.add(s, i)
     return out
 
 
