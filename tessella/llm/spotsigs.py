@@ -73,7 +73,7 @@ def ranges(column: Column, bounds: list[int]) -> Column:
 
 def neighbours(docs: DataFrame, columns: list[str], n_ranges: int | None = None) -> DataFrame:
     """``docs (doc_id, text, ...)`` with ``next_<c>`` for each of ``columns``: the next document's, by descending doc_id, after the last the first's."""
-    n = n_ranges or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = n_ranges or 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n).alias("q"), F.max("doc_id").alias("top")).first()
     bounds = sorted({int(x) for x in found.q or [] if x is not None})
     own = ranges(F.col("doc_id"), bounds)
