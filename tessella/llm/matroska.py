@@ -25,6 +25,7 @@ FRAME = 576
 RATE = 8000
 FRAMES_A_BLOCK = 8
 BLOCKS_A_CLUSTER = 64
+MOST_OFFSET = (1 << 15) - 1  # milliseconds: a block's time within its cluster is a signed 16-bit number
 
 # Element identifiers, fixed by the Matroska specification.
 EBML, DOC_TYPE, DOC_TYPE_VERSION, DOC_TYPE_READ = 0x1A45DFA3, 0x4282, 0x4287, 0x4285
@@ -80,7 +81,10 @@ def laced(frames: list[bytes], kind: str) -> tuple[int, bytes]:
 
 
 def mux(payload: bytes, frame: int = FRAME, rate: int = RATE, lacing: str = "fixed", frames_a_block: int = FRAMES_A_BLOCK, blocks_a_cluster: int = BLOCKS_A_CLUSTER, groups: bool = False) -> bytes:
-    """A Matroska file with one track of 8-bit PCM samples, cues for every cluster, and ``payload`` unchanged in its frames."""
+    """A Matroska file with one track of 8-bit PCM samples, cues for every cluster, and ``payload`` unchanged in its frames.
+
+    A cluster ends after ``blocks_a_cluster`` blocks, or before one whose time in it would exceed ``MOST_OFFSET``.
+    """
     frames = [payload[i : i + frame] for i in range(0, len(payload), frame)]
     tick = lambda n: n * frame * 1000 // rate  # noqa: E731  milliseconds at frame n
     info = element(INFO, uint(TIMESTAMP_SCALE, 1_000_000) + real(DURATION, float(len(payload) * 1000 / rate)) + element(MUXING_APP, b"tessella") + element(WRITING_APP, b"tessella"))
@@ -89,13 +93,15 @@ def mux(payload: bytes, frame: int = FRAME, rate: int = RATE, lacing: str = "fix
     tracks = element(TRACKS, element(TRACK_ENTRY, track))
     clusters, cues, at = [], [], len(info) + len(tracks)
     per = frames_a_block * blocks_a_cluster
-    for c in range(0, len(frames), per):
-        start, blocks = tick(c), []
-        for b in range(c, min(c + per, len(frames)), frames_a_block):
-            some = frames[b : min(b + frames_a_block, c + per)]
+    c = 0
+    while c < len(frames):
+        start, blocks, end = tick(c), [], min(c + per, len(frames))
+        while c < end and tick(c) - start <= MOST_OFFSET:
+            some = frames[c : min(c + frames_a_block, end)]
             bits, content = laced(some, lacing)
-            block = vint(1) + (tick(b) - start).to_bytes(2, "big", signed=True) + bytes([bits | (0 if groups else 0x80)]) + content
+            block = vint(1) + (tick(c) - start).to_bytes(2, "big", signed=True) + bytes([bits | (0 if groups else 0x80)]) + content
             blocks.append(element(BLOCK_GROUP, element(BLOCK, block)) if groups else element(SIMPLE_BLOCK, block))
+            c += len(some)
         cluster = element(CLUSTER, uint(TIMESTAMP, start) + b"".join(blocks))
         cues.append(element(CUE_POINT, uint(CUE_TIME, start) + element(CUE_POSITIONS, uint(CUE_TRACK, 1) + uint(CUE_CLUSTER, at))))
         clusters.append(cluster)

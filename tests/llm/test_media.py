@@ -29,6 +29,17 @@ def test_mux_and_parse(lacing, groups):
         assert [k for *_, k in m.cues] == list(range(len(m.clusters))) and [t for t, _, _ in m.cues] == [min(p[1] for p in m.packets if p[2] == k) for k in range(len(m.clusters))]
 
 
+@pytest.mark.parametrize("size", [456 * 576, 456 * 576 + 1, 5_000_000])
+def test_long_text(size):
+    """With the defaults, a cluster ends before a block's time in it has more than 16 bits."""
+    payload = M.padded(random.Random(3).randbytes(size))
+    data = M.mux(payload)
+    m = M.parse(data)
+    assert b"".join(frames_of(data, m)) == payload
+    assert [t for _, t, *_ in m.packets] == [k * 72_000_000 for k in range(len(m.packets))]
+    assert len(m.clusters) == -(-len(payload) // (456 * 576)) and [k for *_, k in m.cues] == list(range(len(m.clusters)))
+
+
 @pytest.mark.parametrize("lacing", ["xiph", "ebml"])
 def test_uneven_frames(lacing):
     rng = random.Random(2)
