@@ -1,6 +1,6 @@
 """SpotSigs: chains of content words that follow common-word anchors form a document's signature set.
 
-A spot is an anchor and the next ``CHAIN`` content words, with ``GAP`` anchors at most before each of them. The fingerprint is the set of spots as
+A spot is an anchor and the next ``CHAIN`` content words, whatever anchors stand between them. The fingerprint is the set of spots as
 sorted 32-bit hashes in hex. Sets are partitioned by their length, in steps of the least similarity, so that likes lie in the same or
 neighbouring partitions; their likeness is Jaccard's.
 
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from .batches import renamed
 
 CHAIN = 2
-GAP = 6
+GAP = math.inf  # anchors that may stand before each content word: any number
 LEAST = 0.8
 # Anchors, common words of English, French, Spanish and German.
 ANCHORS = (
@@ -36,14 +36,21 @@ def spots(text: Column, chain: int = CHAIN) -> Column:
     """The sorted signature set of a text, as array<int>."""
     words = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
     tagged = F.array_join(F.transform(F.split(words, " "), lambda x: F.when(x.isin(*ANCHORS), F.concat(F.lit("¶"), x)).otherwise(x)), " ")
-    link = rf"(?: ¶[^ ]+){{0,{GAP}}} [^ ¶][^ ]*"
-    found = F.regexp_extract_all(F.concat(F.lit(" "), tagged, F.lit(" ")), F.lit(rf" ¶(?=([^ ]+(?:{link}){{{chain}}}) )"), F.lit(1))
+    content = F.filter(F.split(tagged, " "), lambda x: ~x.startswith("¶"))
+    # what stands before each content word, and after the last: its anchors, each behind " ¶"
+    runs = F.split(F.concat(F.lit(" "), tagged, F.lit(" ")), " (?=[^ ¶])[^ ]+")
 
     def signed(x: Column) -> Column:
-        return F.when(F.size(x) > 0, F.transform(x, lambda y: F.hash(F.regexp_replace(y, r" ¶[^ ]+", "")))).otherwise(F.array(F.hash(words)))
+        def run(anchors: Column, k: Column) -> Column:
+            chain_words = [F.get(x["content"], k + j) for j in range(chain)]
+            return F.transform(F.array_distinct(F.filter(F.split(F.trim(anchors), " ?¶"), lambda y: y != "")), lambda y: F.hash(F.concat_ws(" ", y, *chain_words)))
 
-    # an array of one, so that what is found is found once
-    return F.array_sort(F.array_distinct(F.element_at(F.transform(F.array(found), signed), 1)))
+        found = F.flatten(F.transform(F.slice(x["runs"], F.lit(1), F.greatest(F.size(x["content"]) - (chain - 1), F.lit(0))), run))
+        return F.when(F.size(found) > 0, found).otherwise(F.array(F.hash(x["words"])))
+
+    # arrays of one, so that words are parted once and what is found is found once
+    parted = F.element_at(F.transform(F.array(F.struct(words.alias("words"), content.alias("content"), runs.alias("runs"))), signed), 1)
+    return F.element_at(F.transform(F.array(parted), lambda x: F.array_sort(F.array_distinct(x))), 1)
 
 
 def fingerprint(sigs: Column) -> Column:

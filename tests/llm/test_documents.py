@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import pyspark.sql.functions as F
 import pytest
 
 from tessella.llm import line_dedup as L
@@ -193,6 +194,18 @@ def test_fingerprints(spark, ranges, monkeypatch):
     assert len(empty) == 1
 
 
+def test_spots_across_many_anchors(spark):
+    """Runs of anchors of any length before either content word keep all their spots."""
+    texts = ["the of and to in is was for cat on that with as by at from dog end", "the " * 7 + "cat dog", "the cat " + "of " * 40 + "dog", "and " + "the " * 50_000 + "cat " + "of " * 50_000 + "dog"]
+    want = [
+        {f"{a} cat dog" for a in "the of and to in is was for".split()} | {f"{a} dog end" for a in "on that with as by at from".split()},
+        {"the cat dog"}, {"the cat dog"}, {"and cat dog", "the cat dog"},
+    ]
+    hashes = {y: spark.sql(f"select hash('{y}') as h").first().h for x in want for y in x}
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select("i", spotsigs.spots(F.col("text")).alias("s"))
+    assert {x.i: x.s for x in df.collect()} == {i: sorted(hashes[y] for y in x) for i, x in enumerate(want)}
+
+
 def test_fingerprints_of_few(spark):
     one = spark.createDataFrame([(4, "the cat sat")], "doc_id long, text string")
     x = spotsigs.fingerprints(one).collect()
