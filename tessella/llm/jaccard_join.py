@@ -277,7 +277,7 @@ def local_join(sets: list[np.ndarray], labels: list[int] | None = None, probes:
 
 
 def prepared(docs: DataFrame, least: tuple[int, int] = LEAST, words: int = WORDS) -> DataFrame:
-    """A written table ``doc_id, n, h1, h2, sigs``; a task writes the signatures of equal sets that it has just met once."""
+    """A written table ``doc_id, n, h1, h2, sigs``; a task writes the signatures of equal sets that it has just met once, with a row that has a doc_id."""
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
@@ -287,16 +287,17 @@ def prepared(docs: DataFrame, least: tuple[int, int] = LEAST, words: int = WORDS
         for batch in batches:
             for part in slices(batch, "text"):
                 rows = []
-                for text in part.column("text").to_pylist():
+                for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
                     x = shingles(text, words)
                     if not len(x):
                         rows.append((0, None, None, None))
                         continue
                     key = xxh3_128_digest(x.tobytes())
-                    new = key not in seen
-                    if len(seen) >= SEEN:
-                        seen.clear()
-                    seen.add(key)
+                    new = doc is not None and key not in seen  # rows without doc_id don't link
+                    if new:
+                        if len(seen) >= SEEN:
+                            seen.clear()
+                        seen.add(key)
                     h = np.frombuffer(key, "<i8")
                     rows.append((len(x), int(h[0]), int(h[1]), signatures(x, least).view(np.int64) if new else None))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), *[pa.array(c, t) for c, t in zip(zip(*rows), types)]], ["doc_id", "n", "h1", "h2", "sigs"])

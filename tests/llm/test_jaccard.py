@@ -75,6 +75,14 @@ def test_large_group(spark):
     assert sorted((str(x.doc_id), x.n_shingles, x.component_id) for x in got.collect()) == brute(rows, 9, 10)
 
 
+def test_null_id_ahead_of_its_copy(spark):
+    """A row without doc_id doesn't take the signatures of an equal text behind it in the same partition."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(None, " ".join(words)), (5, " ".join(words)), (3, " ".join([*words, "more"]))]
+    got = J.ngram_components(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    assert sorted((str(x.doc_id), x.n_shingles, x.component_id) for x in got.collect()) == brute(rows, 9, 10) == [("3", 59, 3), ("5", 58, 3), ("None", 58, None)]
+
+
 def test_empty(spark):
     assert J.ngram_components(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
