@@ -36,6 +36,7 @@ SHARED = 8
 WAYS = 3
 SEEN = 500_000
 BROADCAST_SETS = 200_000
+BLOCK_SETS, BLOCK_TOKENS, DENSE = 256, 1 << 16, 8
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 
 
@@ -276,6 +277,71 @@ def local_join(sets: list[np.ndarray], labels: list[int] | None = None, probes:
     return out
 
 
+def overlaps(rows: list[np.ndarray], columns: list[np.ndarray], slot: np.ndarray) -> np.ndarray:
+    """How many tokens each of ``rows`` shares with each of ``columns``; ``slot`` has -1 for every token, before and after."""
+    n, m = len(rows), len(columns)
+    names, at, often = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
+    row, column = np.repeat(np.arange(n), [len(x) for x in rows]), np.repeat(np.arange(m), [len(x) for x in columns])
+    slot[names] = np.arange(len(names))
+    met = slot[np.concatenate(columns)]
+    slot[names] = -1
+    column, met = column[met >= 0], met[met >= 0]
+    # tokens of many rows by a product of matrices, the others one by one
+    many = often >= DENSE
+    place = np.cumsum(many) - 1
+    a, b = np.zeros((n, np.count_nonzero(many)), np.float32), np.zeros((m, np.count_nonzero(many)), np.float32)
+    a[row[many[at]], place[at[many[at]]]] = 1
+    b[column[many[met]], place[met[many[met]]]] = 1
+    out = (a @ b.T).astype(np.int64)
+    column, met = column[~many[met]], met[~many[met]]
+    row = row[np.argsort(at, kind="stable")]
+    times = often[met]
+    which = np.repeat(np.arange(len(met)), times)
+    nth = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
+    found = row[(np.cumsum(often) - often)[met][which] + nth]
+    return out + np.bincount(found * m + column[which], minlength=n * m).reshape(n, m)
+
+
+def link_counts(sets: list[np.ndarray], weights: list[int], sides: list[int] | None = None, least: tuple[int, int] = LEAST) -> np.ndarray:
+    """For each set the sum of the weights of all others that link with it; with ``sides``, of those on another side."""
+    p, q = least
+    k = len(sets)
+    names, codes, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(names), np.int32)
+    rank[np.lexsort((names, -counts))] = np.arange(len(names), dtype=np.int32)
+    coded = [np.sort(x) for x in np.split(rank[codes], np.cumsum([len(x) for x in sets])[:-1])]
+    # sets that link share one of these, the rarest of each
+    rarest = [x[-(-len(x) * p // q) - 1 :] for x in coded]
+    order = np.array(sorted(range(k), key=lambda i: (int(rarest[i][0]), len(coded[i]))))
+    coded, rarest = [coded[i] for i in order], [rarest[i] for i in order]
+    sizes, weight = np.array([len(x) for x in coded]), np.array(weights, np.int64)[order]
+    side = None if sides is None else np.array(sides)[order]
+    tokens, owner = np.concatenate(rarest), np.repeat(np.arange(k), [len(x) for x in rarest])
+    by = np.argsort(tokens, kind="stable")
+    tokens, owner = tokens[by], owner[by]
+    slot, out = np.full(len(names), -1, np.int64), np.zeros(k, np.int64)
+    a = 0
+    while a < k:
+        b = a + max(1, int(np.searchsorted(np.cumsum(sizes[a : a + BLOCK_SETS]), BLOCK_TOKENS)))
+        b = min(b, k)
+        wanted = np.unique(np.concatenate(rarest[a:b]))
+        ranges = zip(np.searchsorted(tokens, wanted), np.searchsorted(tokens, wanted, "right"))
+        near = np.unique(np.concatenate([owner[x:y] for x, y in ranges]))
+        near = near[near >= a]
+        for c in range(0, len(near), 4 * BLOCK_SETS):
+            some = near[c : c + 4 * BLOCK_SETS]
+            link = (p + q) * overlaps(coded[a:b], [coded[i] for i in some], slot) >= p * (sizes[a:b, None] + sizes[some])
+            link &= some > np.arange(a, b)[:, None]
+            if side is not None:
+                link &= side[a:b, None] != side[some]
+            out[a:b] += link @ weight[some]
+            out[some] += weight[a:b] @ link
+        a = b
+    back = np.empty(k, np.int64)
+    back[order] = out
+    return back
+
+
 def prepared(docs: DataFrame, least: tuple[int, int] = LEAST, words: int = WORDS) -> DataFrame:
     """A written table ``doc_id, n, h1, h2, sigs``; a task writes the signatures of equal sets that it has just met once, with a row that has a doc_id."""
 
@@ -306,12 +372,12 @@ def prepared(docs: DataFrame, least: tuple[int, int] = LEAST, words: int = WORDS
 
 
 def member_sets(docs: DataFrame, members: DataFrame, few: bool, words: int = WORDS) -> DataFrame:
-    """``members`` (rep, h1, h2, cluster, chunks) with their tokens, from the text of the document ``rep``."""
+    """``members`` (rep, h1, h2, cluster, chunks, copies) with their tokens, from the text of the document ``rep``."""
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
 
-        names = ["cluster", "chunks", "rep", "h1", "h2"]
+        names = ["cluster", "chunks", "rep", "h1", "h2", "copies"]
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = [shingles(x, words).tobytes() for x in part.column("text").to_pylist()]
@@ -320,8 +386,8 @@ def member_sets(docs: DataFrame, members: DataFrame, few: bool, words: int = WOR
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], pa.array(sets, pa.binary())], [*names, "tokens"]).filter(pa.array(keep))
 
     texts = renamed(docs, "doc_id", "text").withColumnRenamed("doc_id", "rep")
-    joined = texts.join(F.broadcast(members) if few else members, "rep").select("cluster", "chunks", "rep", "h1", "h2", "text")
-    return joined.mapInArrow(tokens, "cluster long, chunks long, rep long, h1 long, h2 long, tokens binary")
+    joined = texts.join(F.broadcast(members) if few else members, "rep").select("cluster", "chunks", "rep", "h1", "h2", "copies", "text")
+    return joined.mapInArrow(tokens, "cluster long, chunks long, rep long, h1 long, h2 long, copies long, tokens binary")
 
 
 def joined_chunks(rows: DataFrame, labelled: bool, least: tuple[int, int] = LEAST) -> DataFrame:
@@ -354,21 +420,53 @@ def joined_chunks(rows: DataFrame, labelled: bool, least: tuple[int, int] = LEAS
     return rows.select(*columns).repartition("cluster", "chunk").sortWithinPartitions("cluster", "chunk", "probe", "rep").mapInArrow(run, "a long, b long")
 
 
-def ngram_components(docs: DataFrame, least: tuple[int, int] = LEAST, words: int = WORDS, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every document of ``docs (doc_id, text)``."""
+def counted_links(sets: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
+    """``h1, h2, links``: how many documents of other sets each of ``sets`` links with. Every two chunks of a cluster meet in a task of their own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+
+        def done():
+            i, j = key[1:]
+            n = link_counts([x[3] for x in rows], [x[2] for x in rows], None if i == j else [x[4] for x in rows], least) if len(rows) > 1 else [0] * len(rows)
+            found = [(x[0], x[1], int(m)) for x, m in zip(rows, n) if m]
+            return pa.RecordBatch.from_arrays([pa.array([x[c] for x in found], pa.int64()) for c in range(3)], ["h1", "h2", "links"])
+
+        for batch in batches:
+            for cluster, i, j, h1, h2, copies, tokens, own in zip(*[c.to_pylist() for c in batch.columns]):
+                if (cluster, i, j) != key:
+                    if key is not None:
+                        yield done()
+                    key, rows = (cluster, i, j), []
+                if not rows or rows[-1][:2] != (h1, h2):  # else the same set, from a repeated row
+                    rows.append((h1, h2, copies, np.frombuffer(tokens, np.uint64), own))
+        if key is not None:
+            yield done()
+
+    dealt = sets.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("chunks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    dealt = dealt.select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "h1", "h2", "copies", "tokens", "own")
+    found = dealt.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "h1", "h2").mapInArrow(run, "h1 long, h2 long, links long")
+    return found.groupBy("h1", "h2").agg(F.sum("links").alias("links"))
+
+
+def ngram_components(docs: DataFrame, least: tuple[int, int] = LEAST, words: int = WORDS, chunk_tokens: int = CHUNK_TOKENS, links_too: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every document of ``docs (doc_id, text)``.
+
+    With ``links_too``, also ``n_links``: how many other rows with a doc_id it links with, those of equal sets among them.
+    """
     table = prepared(docs, least, words)
-    classes = written(table.where("h1 is not null and doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "classes")
+    classes = written(table.where("h1 is not null and doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")), "classes")
     met = table.where("sigs is not null and doc_id is not null").select("h1", F.explode("sigs").alias("sig"))
     first = F.first("h1").over(Window.partitionBy("sig").orderBy("h1").rowsBetween(Window.unboundedPreceding, 0))
     edges = met.select(F.col("h1").alias("a"), first.alias("b")).where("a <> b").distinct()
     clusters = connected_components(edges).withColumnRenamed("id", "h1").withColumnRenamed("component", "cluster")
     members = classes.join(clusters, "h1")
     sizes = members.groupBy("cluster").agg(F.expr(f"(sum(n) + {chunk_tokens - 1}) div {chunk_tokens}").alias("chunks"))
-    members = written(members.join(sizes, "cluster").select("cluster", "chunks", "rep", "h1", "h2"), "members")
+    members = written(members.join(sizes, "cluster").select("cluster", "chunks", "rep", "h1", "h2", "copies"), "members")
     many = members.agg(F.count(F.lit(1)).alias("n"), F.max("chunks").alias("c")).first()
     if many.n:
         sets = member_sets(docs, members, many.n <= BROADCAST_SETS, words)
-        if many.c > 1:
+        if many.c > 1 or links_too:
             sets = written(sets, "member-sets")
         own = F.pmod(F.xxhash64("rep"), F.col("chunks"))
         # sets that every chunk of their cluster gets: about SHARED, by hash
@@ -391,9 +489,14 @@ def ngram_components(docs: DataFrame, least: tuple[int, int] = LEAST, words: int
             more = joined_chunks(both, True, least)
             found = connected_components(links.unionByName(more))
         classes = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").withColumn("rep", F.coalesce("component", "rep"))
-    result = table.select("doc_id", "n", "h1", "h2").join(classes.select("h1", "h2", "rep"), ["h1", "h2"], "left")
-    return result.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("component_id"))
+    classes = classes.withColumn("others", F.col("copies") - 1)
+    if many.n and links_too:
+        classes = classes.join(counted_links(sets, least), ["h1", "h2"], "left").withColumn("others", F.col("others") + F.coalesce("links", F.lit(0)))
+    result = table.select("doc_id", "n", "h1", "h2").join(classes.select("h1", "h2", "rep", "others"), ["h1", "h2"], "left")
+    known = F.col("doc_id").isNotNull()
+    columns = ["doc_id", F.col("n").alias("n_shingles"), F.when(known, F.coalesce("rep", "doc_id")).alias("component_id")]
+    return result.select(*columns, *([F.when(known, F.coalesce("others", F.lit(0).cast("long"))).alias("n_links")] if links_too else []))
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return ngram_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), links_too=True)

@@ -75,6 +75,31 @@ def test_large_group(spark):
     assert sorted((str(x.doc_id), x.n_shingles, x.component_id) for x in got.collect()) == brute(rows, 9, 10)
 
 
+@pytest.mark.parametrize("chunk", [1 << 21, 700])
+def test_all_links_are_counted(spark, chunk):
+    rows = near_copies(3, 12, 16, (60, 90), 3) + ODD
+    got = J.ngram_components(spark.createDataFrame(rows, "doc_id long, text string"), chunk_tokens=chunk, links_too=True)
+    sets = [(i, shingle_set(t)) for i, t in rows]
+    links = [None if i is None else sum(a != b and j is not None and bool(x) and bool(y) and 10 * len(x & y) >= 9 * len(x | y) for b, (j, y) in enumerate(sets)) for a, (i, x) in enumerate(sets)]
+    assert sorted((str(x.doc_id), str(x.n_links)) for x in got.collect()) == sorted((str(i), str(n)) for (i, _), n in zip(rows, links))
+    assert max(n or 0 for n in links) > 5
+
+
+def test_link_counts():
+    rng = np.random.default_rng(6)
+    base = rng.choice(5000, 60, replace=False)
+    sets = [np.unique(np.concatenate([rng.permutation(base)[rng.integers(0, 5) :], rng.choice(5000, rng.integers(1, 5))])).astype(np.uint64) for _ in range(700)]
+    weights, sides = rng.integers(1, 4, 700), rng.integers(0, 2, 700)
+    want = np.zeros((700, 700), bool)
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            o = len(set(x.tolist()) & set(y.tolist()))
+            want[i, j] = want[j, i] = 10 * o >= 9 * (len(x) + len(y) - o)
+    assert want.sum() > 1000
+    assert J.link_counts(sets, weights.tolist()).tolist() == (want @ weights).tolist()
+    assert J.link_counts(sets, weights.tolist(), sides.tolist()).tolist() == ((want & (sides[:, None] != sides)) @ weights).tolist()
+
+
 def test_null_id_ahead_of_its_copy(spark):
     """A row without doc_id doesn't take the signatures of an equal text behind it in the same partition."""
     words = [f"w{i}" for i in range(60)]
