@@ -23,6 +23,22 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) ->
         yield batch.slice(a, b - a)
 
 
+def freed(function):
+    """A batch function that, when its input ends, gives memory back to the system: workers are reused, and an executor's next stage needs the room."""
+
+    def run(batches):
+        yield from function(batches)
+        import ctypes
+
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except AttributeError:  # a C library without it
+            pass
+
+    return run
+
+
 def task_id() -> int:
     """The number of the partition that this task makes."""
     from pyspark import TaskContext

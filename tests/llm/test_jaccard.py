@@ -78,26 +78,48 @@ def test_large_group(spark):
 @pytest.mark.parametrize("chunk", [1 << 21, 700])
 def test_all_links_are_counted(spark, chunk):
     rows = near_copies(3, 12, 16, (60, 90), 3) + ODD
-    got = J.ngram_components(spark.createDataFrame(rows, "doc_id long, text string"), chunk_tokens=chunk, links_too=True)
+    got = J.ngram_components(spark.createDataFrame(rows, "doc_id long, text string"), chunk_tokens=chunk)
     sets = [(i, shingle_set(t)) for i, t in rows]
     links = [None if i is None else sum(a != b and j is not None and bool(x) and bool(y) and 10 * len(x & y) >= 9 * len(x | y) for b, (j, y) in enumerate(sets)) for a, (i, x) in enumerate(sets)]
     assert sorted((str(x.doc_id), str(x.n_links)) for x in got.collect()) == sorted((str(i), str(n)) for (i, _), n in zip(rows, links))
     assert max(n or 0 for n in links) > 5
 
 
-def test_link_counts():
-    rng = np.random.default_rng(6)
-    base = rng.choice(5000, 60, replace=False)
-    sets = [np.unique(np.concatenate([rng.permutation(base)[rng.integers(0, 5) :], rng.choice(5000, rng.integers(1, 5))])).astype(np.uint64) for _ in range(700)]
-    weights, sides = rng.integers(1, 4, 700), rng.integers(0, 2, 700)
-    want = np.zeros((700, 700), bool)
-    for i, x in enumerate(sets):
-        for j, y in enumerate(sets[:i]):
-            o = len(set(x.tolist()) & set(y.tolist()))
-            want[i, j] = want[j, i] = 10 * o >= 9 * (len(x) + len(y) - o)
-    assert want.sum() > 1000
-    assert J.link_counts(sets, weights.tolist()).tolist() == (want @ weights).tolist()
-    assert J.link_counts(sets, weights.tolist(), sides.tolist()).tolist() == ((want & (sides[:, None] != sides)) @ weights).tolist()
+def every_link(sets, least):
+    return np.array([[i != j and least[1] * (o := len(np.intersect1d(x, y))) >= least[0] * (len(x) + len(y) - o) for j, y in enumerate(sets)] for i, x in enumerate(sets)])
+
+
+@pytest.mark.parametrize("least", [(9, 10), (4, 5)])
+@pytest.mark.parametrize("block", [4, 256])
+def test_tree_is_all_pairs(least, block, monkeypatch):
+    """Counts and components by the tree, within one set of sets and between two, with any levels."""
+    monkeypatch.setattr(J, "BLOCK_SETS", block)
+    monkeypatch.setattr(J, "GATHERED", 1 << 10 if block == 4 else 1 << 23)
+    rng = np.random.default_rng(4)
+    levels = rng.integers(0, 5, 1 << J.COUNTER_BITS).astype(np.uint8)
+    names = J.mixed(np.arange(200, dtype=np.uint64))
+    linked = 0
+    for _ in range(25):
+        base = [rng.choice(200, rng.integers(1, 60), replace=False) for _ in range(4)]
+        sets = {}
+        for _ in range(40):
+            x = set(base[rng.integers(4)].tolist())
+            for _ in range(rng.integers(0, 4)):
+                x.discard(int(rng.integers(200)))
+                x.add(int(rng.integers(200)))
+            sets[tuple(sorted(x))] = np.sort(names[list(x)])
+        sets = list(sets.values())
+        weights, sides = rng.integers(1, 4, len(sets)), rng.integers(0, 2, len(sets))
+        for which in (None, sides, np.zeros(len(sets), int)):
+            want = every_link(sets, least) & (True if which is None else which[:, None] != which)
+            linked += want.sum()
+            counts, root = J.tree_join(sets, weights, levels, which, least)
+            assert counts.tolist() == (want @ weights).tolist()
+            up = np.arange(len(sets))
+            for _ in sets:
+                up = np.array([min([up[i], *up[want[i]]]) for i in range(len(sets))])
+            assert root.tolist() == up.tolist()
+    assert linked > 1000
 
 
 def test_null_id_ahead_of_its_copy(spark):
@@ -114,10 +136,11 @@ def test_empty(spark):
 
 @pytest.mark.parametrize("ways", [1, 3])
 @pytest.mark.parametrize("least", [(9, 10), (4, 5)])
-def test_signatures_lose_no_link(least, ways, monkeypatch):
-    """Sets that link have a signature in common, also where parts are empty; with one way the empty parts must see to it."""
+def test_parts_lose_no_link(least, ways, monkeypatch):
+    """Sets that link have a part in common, also where parts are empty; with one way the empty parts must see to it."""
     monkeypatch.setattr(J, "WAYS", ways)
     rng = np.random.default_rng(2)
+    levels = rng.integers(0, 9, 1 << J.COUNTER_BITS).astype(np.uint8)
     p, q = least
     linked = 0
     for _ in range(1500):
@@ -128,38 +151,26 @@ def test_signatures_lose_no_link(least, ways, monkeypatch):
         both = len(np.intersect1d(x, y))
         if both < len(x) + len(y) - both and len(y) and q * both >= p * (len(x) + len(y) - both):
             linked += 1
-            assert set(J.signatures(x, least).tolist()) & set(J.signatures(y, least).tolist())
+            assert set(J.signatures(x, levels, least).tolist()) & set(J.signatures(y, levels, least).tolist())
     assert linked > 100
 
 
-def test_tree_is_all_pairs():
-    rng = np.random.default_rng(4)
-    for _ in range(40):
-        base = [rng.choice(200, rng.integers(5, 40), replace=False) for _ in range(4)]
-        sets = []
-        for _ in range(40):
-            x = set(base[rng.integers(4)].tolist())
-            for _ in range(rng.integers(0, 4)):
-                x.discard(int(rng.integers(200)))
-                x.add(int(rng.integers(200)))
-            sets.append(np.array(sorted(x), np.uint64))
-        for least in ((9, 10), (4, 5)):
-            up = list(range(len(sets)))
-            for i, j in J.local_join(sets, least=least):
-                a, b = min(up[i], up[j]), max(up[i], up[j])
-                up = [a if x == b else x for x in up]
-            want = list(range(len(sets)))
-            for i in range(len(sets)):
-                for j in range(i):
-                    o = len(np.intersect1d(sets[i], sets[j]))
-                    if least[1] * o >= least[0] * (len(sets[i]) + len(sets[j]) - o):
-                        a, b = min(want[i], want[j]), max(want[i], want[j])
-                        want = [a if x == b else x for x in want]
-            assert up == want
-
-
-def test_components(spark):
+def test_levels_are_the_corpus_counts(spark):
+    """Counters of several tasks add up; levels are those of the sums."""
+    texts = [f"a b c d w{i % 7} x y z" for i in range(40)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    levels = np.frombuffer(J.frequency_levels(J.shingled(docs).where("slice is not null").select("slice", "counts")), np.uint8)
+    want = np.zeros(1 << J.COUNTER_BITS)
+    for t in texts:
+        np.add.at(want, J.counter(J.shingles(t)), 1)
+    assert levels.tolist() == np.round(8 * np.log2(1 + want)).astype(int).tolist()
+
+
+@pytest.mark.parametrize("one_task", [0, 1 << 20])
+def test_components(spark, one_task):
+    """Both ways: by written steps and in one task."""
     edges = [(i, i + 1) for i in range(60)] + [(100, 103), (103, 101), (7, 7), (None, 4), (200, 201), (201, 200)]
-    got = {x.id: x.component for x in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {i: 0 for i in range(61)} | {100: 100, 101: 100, 103: 100, 200: 200, 201: 200}
-    assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+    found = connected_components(spark.createDataFrame(edges, "a long, b long").repartition(6), one_task=one_task).collect()
+    assert len(found) == len({x.id for x in found})
+    assert {x.id: x.component for x in found} == {i: 0 for i in range(61)} | {100: 100, 101: 100, 103: 100, 200: 200, 201: 200}
+    assert connected_components(spark.createDataFrame([], "a long, b long"), one_task=one_task).collect() == []
