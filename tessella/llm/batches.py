@@ -6,7 +6,8 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 1 << 20
+BATCH_BYTES = 4 << 20
 
 
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -24,7 +25,15 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) ->
 
 
 def freed(function):
-    """A batch function that, when its input ends, gives memory back to the system: workers are reused, and an executor's next stage needs the room."""
+    """A batch function that, when its input ends, gives memory back to the system: workers are reused, and an executor's next stage needs the room.
+
+    Called on the driver, it also has the session send batches of ``BATCH_BYTES`` at most, so that long texts don't pile up in a batch.
+    """
+    from pyspark.sql import SparkSession
+
+    key, session = "spark.sql.execution.arrow.maxBytesPerBatch", SparkSession.getActiveSession()
+    if session and not 0 < int(session.conf.get(key).rstrip("b")) <= BATCH_BYTES:
+        session.conf.set(key, str(BATCH_BYTES))
 
     def run(batches):
         yield from function(batches)

@@ -15,6 +15,8 @@ rows are documents of their own. An empty table gives no rows. Extra columns are
 
 from __future__ import annotations
 
+import math
+
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession, Window
 
@@ -25,6 +27,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
 SALT_ROWS = 4096
+BROADCAST_ROWS = 300_000
 STEPS = 60
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Words are summed as integers of this many parts.
@@ -32,8 +35,9 @@ PARTS = 10**6
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """A written table ``doc_id, source, size``."""
-    return written(renamed(docs, "doc_id", "source", "text").select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size")), "sizes")
+    """A written table ``doc_id, source, size, tag``; the tag is a hash of source and text."""
+    size = F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long")
+    return written(renamed(docs, "doc_id", "source", "text").select("doc_id", "source", size.alias("size"), F.xxhash64("source", "text").alias("tag")), "sizes")
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -58,7 +62,7 @@ def tilts(sizes: DataFrame, goals: DataFrame, most: int = MOST, steps: int = STE
     u = F.when(F.col("largest") > 0, F.col("size") / F.col("largest")).otherwise(F.lit(0.0))
     cells = written(cells.select("h.source", "size", "n", "target", u.alias("u"), (F.col("target") >= most * F.col("source_size")).alias("full")), "cells")
     state = written(goals.where(F.col("target") < most * F.col("source_size")).select("source", "target", F.lit(0.0).alias("x"), F.lit(-1e6).alias("lo"), F.lit(1e6).alias("hi"), F.lit(False).alias("done")), "tilt")
-    raw = F.exp(F.least(F.col("x") * F.col("u"), F.lit(1.0)))
+    raw = F.exp(F.least(F.col("x") * F.col("u"), F.lit(1.0 + math.log(most))))
     whole = lambda c: F.round(c * PARTS).cast("decimal(38,0)")
     for _ in range(steps):
         at = cells.alias("c").where(~F.col("full")).join(state.select("source", "x").alias("s"), F.col("c.source").eqNullSafe(F.col("s.source"))).select("c.source", "x", "u", "n", "size")
@@ -74,33 +78,35 @@ def tilts(sizes: DataFrame, goals: DataFrame, most: int = MOST, steps: int = STE
         state = written(s.select("source", "target", F.when(F.col("done") | done, F.col("x")).when(ok, newton).otherwise(middle).alias("x"), "lo", "hi", (F.col("done") | done).alias("done")), "tilt")
         if not state.where(~F.col("done")).limit(1).count():
             break
+    else:
+        raise RuntimeError(f"the tilts did not settle within {steps} steps")
     joined = cells.alias("c").join(state.select("source", "x").alias("s"), F.col("c.source").eqNullSafe(F.col("s.source")), "left")
     rate = F.when(F.col("full"), F.lit(float(most))).otherwise(F.least(raw, F.lit(float(most))))
     return written(joined.select("c.source", "size", "n", F.round(rate, 9).alias("rate")), "rates")
 
 
 def copies(sizes: DataFrame, cells: DataFrame) -> DataFrame:
-    """``doc_id, source, size, rate, salt, rank, copies`` of every document."""
+    """``doc_id, source, size, tag, rate, salt, rank, copies`` of every document."""
     along = Window.partitionBy("source").orderBy("size")
     ends = F.floor(F.sum(F.col("n") * F.col("rate")).over(along.rowsBetween(Window.unboundedPreceding, 0)) + 0.5)
     cells = cells.withColumn("end", ends)
     cells = cells.select("source", "size", "n", "rate", (F.col("end") - F.coalesce(F.lag("end").over(along), F.lit(0))).alias("all"), F.expr(f"(n + {SALT_ROWS - 1}) div {SALT_ROWS}").alias("salts"))
-    tag = F.xxhash64("doc_id")
+    deal = F.xxhash64("doc_id", "tag")
     docs = sizes.alias("d").join(cells.alias("c"), F.col("d.source").eqNullSafe(F.col("c.source")) & (F.col("d.size") == F.col("c.size")))
-    docs = docs.select("doc_id", "d.source", "d.size", "n", "rate", "all", F.pmod(tag, F.col("salts")).alias("salt"))
+    docs = docs.select("doc_id", "d.source", "d.size", "tag", "n", "rate", "all", F.pmod(deal, F.col("salts")).alias("salt"))
     subs = docs.groupBy("source", "size", "salt").agg(F.count(F.lit(1)).alias("m"), F.first("n").alias("n"), F.first("all").alias("all"))
     upto = F.sum("m").over(Window.partitionBy("source", "size").orderBy("salt").rowsBetween(Window.unboundedPreceding, 0))
     part = lambda c: F.floor(F.col("all").cast("decimal(20,0)") * c.cast("decimal(18,0)") / F.col("n").cast("decimal(18,0)")).cast("long")
     subs = subs.withColumn("upto", upto).select(F.col("source").alias("s2"), F.col("size").alias("z2"), F.col("salt").alias("t2"), "m", (part(F.col("upto")) - part(F.col("upto") - F.col("m"))).alias("share"))
     both = docs.join(subs, F.col("source").eqNullSafe(F.col("s2")) & (F.col("size") == F.col("z2")) & (F.col("salt") == F.col("t2")))
-    rank = F.row_number().over(Window.partitionBy("source", "size", "salt").orderBy(tag, "doc_id"))
+    rank = F.row_number().over(Window.partitionBy("source", "size", "salt").orderBy(deal, "doc_id", "tag"))
     both = both.withColumn("rank", rank)
     count = F.expr("share div m").cast("long") + (F.col("rank") <= F.col("share") % F.col("m")).cast("long")
-    return both.select("doc_id", "source", "size", "rate", "salt", "rank", count.alias("copies"))
+    return both.select("doc_id", "source", "size", "tag", "rate", "salt", "rank", count.alias("copies"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """``doc_id, source, size, source_size, target, rate, copies, taken`` of every document."""
+    """``doc_id, source, size, tag, source_size, target, rate, copies, taken`` of every document."""
     sizes = sized(docs)
     goals = targets(sizes, weights, share, most)
     counted = written(copies(sizes, tilts(sizes, goals, most)), "copies")
@@ -111,18 +117,28 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     one = rows.where(room).groupBy("source").agg(F.min(F.struct("size", "salt", "rank")).alias("one")).select(F.col("source").alias("of1"), "one")
     rows = rows.join(one, F.col("source").eqNullSafe(F.col("of1")), "left")
     part = F.when(F.col("one") == F.struct("size", "salt", "rank"), F.col("rest")).otherwise(F.lit(0))
-    return rows.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size") + F.coalesce(part, F.lit(0))).alias("taken"))
+    return rows.select("doc_id", "source", "size", "tag", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size") + F.coalesce(part, F.lit(0))).alias("taken"))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """``docs``, each row as often as its copies say; rows without copies go. Rows of one doc_id share its copies by their hash."""
+    """``docs``, each row as often as its copies say; rows without copies go. Rows of equal doc_id, source and text share their copies evenly."""
     names = [f"_{i}" for i in range(len(docs.columns))]
-    key, text = place(docs, "doc_id"), place(docs, "text")
-    counted = mix(docs).select(F.col("doc_id").alias("__id"), F.row_number().over(Window.partitionBy("doc_id").orderBy("size", "copies")).alias("__k"), F.col("copies").alias("__copies"))
-    size = F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0))
-    rows = numbered(docs).withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(size, F.xxhash64(text))))
-    joined = rows.join(counted, F.col(key).eqNullSafe(F.col("__id")) & (F.col("__n") == F.col("__k")))
-    return joined.where("__copies > 0").withColumn("__copy", F.explode(F.expr("sequence(1L, __copies)"))).select(*names).toDF(*docs.columns)
+    key = place(docs, "doc_id")
+    of = mix(docs).groupBy("doc_id", "tag").agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows")).where("__copies > 0")
+    of = written(of.select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag"), "__copies", "__rows"), "copies-by-id")
+    known = of.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("__copies") % F.col("__rows") > 0, 1)).alias("uneven")).first()
+    if known.n <= BROADCAST_ROWS:  # else the texts are dealt by their hash
+        of = F.broadcast(of)
+    tag = F.xxhash64(place(docs, "source"), place(docs, "text"))
+    rows = numbered(docs).withColumn("__own", tag)
+    rows = rows.join(of, F.col(key).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__tag")))
+    even = F.expr("__copies % __rows = 0")
+    out = rows.where(even).withColumn("__copies", F.expr("__copies div __rows")) if known.uneven else rows.withColumn("__copies", F.expr("__copies div __rows"))
+    if known.uneven:
+        rank = F.row_number().over(Window.partitionBy(key, "__own").orderBy("__tag"))
+        some = rows.where(~even).withColumn("__rank", rank).withColumn("__copies", F.expr("__copies div __rows + cast(__rank <= __copies % __rows as long)")).drop("__rank")
+        out = out.unionByName(some)
+    return out.where("__copies > 0").withColumn("__copy", F.explode(F.expr("sequence(1L, __copies)"))).select(*names).toDF(*docs.columns)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

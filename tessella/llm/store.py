@@ -14,6 +14,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .batches import numbered
+
 _LOCAL: list[str] = []
 
 
@@ -36,11 +38,14 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared folder and read it back: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
+    """Write ``df`` as a Parquet table in the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    In the file columns are called by their place, so that names which clash do no harm.
+    """
+    spark, rows = df.sparkSession, numbered(df)
     path = scratch(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path).toDF(*df.columns)
 
 
 def filesystem(uri: str):

@@ -54,6 +54,31 @@ def test_run(spark, tables):
     assert max(lengths.values()) <= 1024 and sum(1024 - n for n in lengths.values()) < 1024
 
 
+def test_odd_rows(spark, tables):
+    """Every stage on nulls, empty and very long texts, repeated rows and extra columns whose names clash."""
+    folder, _ = tables
+    long = " ".join(f"w{i}" for i in range(30_000))
+    rows = [
+        (1, None, "en", "a", 0, "x", 1), (2, "", "en", "a", 0, "x", 2), (3, long, "en", None, len(long), "x", 3), (4, long + " more", "en", "b", 0, "x", 4), (None, long, "en", "b", 0, "x", 5), (None, None, None, None, None, None, 6),
+        (5, "the same text of six words", None, "c", 5, "x", 7), (5, "the same text of six words", None, "c", 5, "x", 7), (5, "another text under the same id", "en", "c", 5, "x", 8), (6, "\n \n", "en", "c", 3, "x", 9),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, a string, b int").toDF("doc_id", "text", "lang", "source", "n_chars", "TEXT", "__gone")
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, df, folder)
+        assert out.columns == df.columns, name
+        ids = Counter(x.doc_id for x in out.collect())
+        if name == "ngram_jaccard_join":
+            assert ids == Counter([1, 2, 3, None, None, 5, 5, 5, 6])
+        elif name == "mixing":
+            assert set(ids) <= {None, 1, 2, 3, 4, 5, 6} and max(ids.values()) <= 6
+        else:
+            assert ids == Counter(x[0] for x in rows), name
+        assert stage(spark, df.limit(0), folder).collect() == []
+    pieces = P.pack_windows(spark, df, folder).collect()
+    assert Counter(x.doc_id for x in pieces if x.start == 0) == Counter(x[0] for x in rows)
+    assert P.pack_windows(spark, df.limit(0), folder).collect() == []
+
+
 def test_entry():
     import __spark_entry__ as entry
 
