@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows of its predecessor's output, which is written as Parquet and read again. All but the
 last return the columns of ``documents``; the last returns the pieces that ``pack`` describes. Mixing repeats a document as often as it has
 copies, so its doc_id may occur twice from there on.
+
+Edge cases, for every stage: an empty table stays empty. Null and empty texts are scored, kept, mixed with size 0 and packed as their end id alone. Rows with a null doc_id have no near copies
+and stay; rows of equal doc_id are scored, cleaned and mixed one by one, and go together if their group's least doc_id is another. A null source is a source. Very long texts are
+read whole. Extra columns are passed on up to the last stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -10,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessella.llm.batches import numbered, place
 from tessella.llm.jaccard_join import ngram_components
 from tessella.llm.line_dedup import line_dedup
 from tessella.llm.mixing import mixed
@@ -19,12 +24,14 @@ from tessella.llm.toxicity import toxicity
 
 #: Word n-grams and least Jaccard similarity of near duplicates.
 NEAR_WORDS, NEAR_LEAST = 5, (4, 5)
+BROADCAST_IDS = 1_000_000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under 0.5."""
-    scored = toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).toDF(*docs.columns, "__score")
-    return scored.where("__score < 0.5").drop("__score")
+    scored = numbered(toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    score = scored.columns[-1]
+    return scored.where(F.col(score) < 0.5).drop(score).toDF(*docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,9 +42,10 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least doc_id of each group of near duplicates; documents without words or doc_id stay."""
     found = ngram_components(docs, NEAR_LEAST, NEAR_WORDS)
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    rest = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    return rest.select(*docs.columns)
+    gone = written(found.where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    if gone.count() <= BROADCAST_IDS:  # else the texts are dealt by doc_id
+        gone = F.broadcast(gone)
+    return numbered(docs).join(gone, F.col(place(docs, "doc_id")) == F.col("__gone"), "left_anti").toDF(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
