@@ -33,14 +33,16 @@ def strided(cells: DataFrame, factor: int) -> DataFrame:
 def bilinear(points: DataFrame, raster: DataFrame, key: str, value: str = "z") -> DataFrame:
     """``points (key, x, y)`` with the raster's value there, in pixel coordinates whose cell centres are at halves.
 
-    Null unless all four neighbours have data. The raster meets the points once, on their exploded 2 x 2 neighbours.
+    Null unless all four neighbours have data. The raster meets the points once, on their exploded 2 x 2 neighbours. If both have a ``tile``,
+    each tile is a raster of its own; else there is one for all.
     """
+    tile = ["tile"] if "tile" in points.columns and "tile" in raster.columns else []
     fx, fy = F.col("x") - 0.5, F.col("y") - 0.5
-    p = points.select(key, F.floor(fx).cast("int").alias("c0"), F.floor(fy).cast("int").alias("r0"), (fx - F.floor(fx)).alias("u"), (fy - F.floor(fy)).alias("v"))
+    p = points.select(key, *tile, F.floor(fx).cast("int").alias("c0"), F.floor(fy).cast("int").alias("r0"), (fx - F.floor(fx)).alias("u"), (fy - F.floor(fy)).alias("v"))
     corners = F.array(*[F.struct((F.col("r0") + i).alias("r"), (F.col("c0") + j).alias("c"), ((F.col("v") if i else 1 - F.col("v")) * (F.col("u") if j else 1 - F.col("u"))).alias("w")) for i in (0, 1) for j in (0, 1)])
-    near = p.select(key, F.explode(corners).alias("q")).select(key, "q.*")
-    valid = raster.where(F.col(value).isNotNull() & ~F.isnan(value)).select("r", "c", F.col(value).cast("double").alias("z"))
-    got = near.join(valid, ["r", "c"], "left").groupBy(key).agg(F.sum(F.col("w") * F.col("z")).alias("z"), F.count("z").alias("n"))
+    near = p.select(key, *tile, F.explode(corners).alias("q")).select(key, *tile, "q.*")
+    valid = raster.where(F.col(value).isNotNull() & ~F.isnan(value)).select(*tile, "r", "c", F.col(value).cast("double").alias("z"))
+    got = near.join(valid, [*tile, "r", "c"], "left").groupBy(key).agg(F.sum(F.col("w") * F.col("z")).alias("z"), F.count("z").alias("n"))
     return got.select(key, F.when(F.col("n") == 4, F.col("z")).alias(value))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import dims
 
-FACTOR, SIDE = 4, 32
+FACTOR, SIDE = 2, 32
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,12 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def subcells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """128 x 128 sub-samples of a 32 x 32 grid, in three layers by return flag."""
+    """64 x 64 sub-samples of a 32 x 32 grid, in three layers by return flag; a tile has 1024 orders' lines."""
     x = table(spark, sf_dir, "lineitem").selectExpr(
-        "'T' AS tile", "cast((l_orderkey * 7 + l_linenumber * 3) % 128 AS int) AS sr", "cast((l_partkey * 5 + l_suppkey) % 128 AS int) AS sc",
+        "concat('T', l_orderkey div 1024) AS tile", "cast((l_orderkey * 7 + l_linenumber * 3) % 64 AS int) AS sr", "cast((l_partkey * 5 + l_suppkey) % 64 AS int) AS sc",
         "CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS prio", "l_orderkey", "l_linenumber", "l_partkey",
     )
-    return x.withColumn("cls", F.expr("cast(if(l_partkey % 4 = 0, l_partkey % 13, ((sr div 16) * 8 + (sc div 16)) % 13) AS int)"))
+    return x.withColumn("cls", F.expr("cast(if(l_partkey % 4 = 0, l_partkey % 13, ((sr div 8) * 8 + (sc div 8)) % 13) AS int)"))
 
 
 def stands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,8 +30,8 @@ def stands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A 32 x 32 class grid with its mask."""
-    return table(spark, sf_dir, "orders").where("o_orderkey < 1024").selectExpr("'T' AS tile", "cast(o_orderkey div 32 AS int) AS r", "cast(o_orderkey % 32 AS int) AS c", "cast(o_custkey % 15 AS int) AS cls", "o_orderstatus <> 'P' AS inside")
+    """32 x 32 class grids with their masks, a tile for every 1024 orders."""
+    return table(spark, sf_dir, "orders").selectExpr("concat('T', o_orderkey div 1024) AS tile", "cast(o_orderkey % 1024 div 32 AS int) AS r", "cast(o_orderkey % 32 AS int) AS c", "cast(o_custkey % 15 AS int) AS cls", "o_orderstatus <> 'P' AS inside")
 
 
 def triangle(x0: Column, y0: Column, w: Column, t: Column) -> Column:
@@ -48,12 +48,19 @@ def footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def elevation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A 40 x 25 grid of measured values."""
-    return table(spark, sf_dir, "events").where("event_id < 1000").selectExpr("'T' AS tile", "cast(event_id div 25 AS int) AS r", "cast(event_id % 25 AS int) AS c", "value AS z")
+    """40 x 25 grids of measured values, a tile for every 1000 events."""
+    return table(spark, sf_dir, "events").selectExpr("concat('T', event_id div 1000) AS tile", "cast(event_id % 1000 div 25 AS int) AS r", "cast(event_id % 25 AS int) AS c", "value AS z")
 
 
 def sample_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").where("o_orderkey < 300").selectExpr("o_orderkey AS id", "o_custkey % 231 * 0.1D + 0.5D AS x", "o_orderkey % 389 * 0.1D + 0.5D AS y")
+    """Places on the tiles of ``elevation``, 1500 a tile."""
+    return table(spark, sf_dir, "orders").selectExpr("o_orderkey AS id", "concat('T', o_orderkey div 1500) AS tile", "o_custkey % 231 * 0.1D + 0.5D AS x", "o_orderkey % 389 * 0.1D + 0.5D AS y")
+
+
+def built(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each order, at the order's cell of ``legacy``."""
+    x = table(spark, sf_dir, "lineitem").selectExpr("concat('T', l_orderkey div 1024) AS tile", "cast(l_orderkey % 1024 div 32 AS int) AS r", "cast(l_orderkey % 32 AS int) AS c")
+    return x.groupBy("tile", "r", "c").agg(F.count(F.lit(1)).cast("double").alias("v"))
 
 
 def sparse(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import dims
-from ..config import pixels_per_degree
 from ..functions import scalar as S
 from ..functions import tiles as T
 from ..operators import blocks, fill, focal, geometry, majority, overlay, planning, qa, quantile, resample
@@ -28,7 +27,7 @@ def _plain(df: DataFrame, digits: int | None = None) -> DataFrame:
 
 def _natural(spark: SparkSession, sf: str) -> DataFrame:
     painted = overlay.paint(A.subcells(spark, sf), ["tile", "sr", "sc"], PAINT)
-    return majority.on_grid(majority.threshold_majority(painted, A.FACTOR), overlay.grid(spark, A.SIDE, A.SIDE))
+    return majority.on_grid(majority.threshold_majority(painted, A.FACTOR), overlay.grid(spark, A.SIDE, A.SIDE, A.legacy(spark, sf).select("tile").distinct()))
 
 
 def _masked(spark: SparkSession, sf: str) -> DataFrame:
@@ -38,14 +37,14 @@ def _masked(spark: SparkSession, sf: str) -> DataFrame:
 
 def landcover_majority(spark: SparkSession, sf: str) -> DataFrame:
     x = _masked(spark, sf)
-    return _plain(x.select("r", "c", "cls", "dominant", "source", overlay.fallback(F.col("cls"), S.legacy_class(F.col("legacy"))).alias("final")))
+    return _plain(x.select("tile", "r", "c", "cls", "dominant", "source", overlay.fallback(F.col("cls"), S.legacy_class(F.col("legacy"))).alias("final")))
 
 
 def landcover_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """The same natural classes, by the block form: runs of one sub-cell each."""
-    x = A.subcells(spark, sf).withColumn("fid", F.row_number().over(Window.partitionBy("sr", "sc").orderBy(*PAINT))).withColumnRenamed("sr", "r")
+    x = A.subcells(spark, sf).withColumn("fid", F.row_number().over(Window.partitionBy("tile", "sr", "sc").orderBy(*PAINT))).withColumnRenamed("sr", "r")
     runs = x.select("tile", "r", F.col("sc").alias("c0"), F.col("sc").alias("c1"), "prio", "fid", "cls")
-    return _plain(blocks.to_cells(blocks.painted_majority(runs, A.SIDE, A.SIDE, 8, A.FACTOR)).select("r", "c", "cls"))
+    return _plain(blocks.to_cells(blocks.painted_majority(runs, A.SIDE, A.SIDE, 8, A.FACTOR)).select("tile", "r", "c", "cls"))
 
 
 def class_histogram(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,8 +64,8 @@ def qa_status_partition(spark: SparkSession, sf: str) -> DataFrame:
 def layer_precedence(spark: SparkSession, sf: str) -> DataFrame:
     x = A.subcells(spark, sf)
     parts = {name: x.where(F.col("prio") == i + 1).drop("prio") for i, name in enumerate(("land_use", "forest", "hydro"))}
-    painted = overlay.paint(overlay.layered(parts, ("land_use", "forest", "hydro")), ["sr", "sc"], PAINT)
-    return _plain(painted.groupBy("cls").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("sr") * 128 + F.col("sc")).alias("places")))
+    painted = overlay.paint(overlay.layered(parts, ("land_use", "forest", "hydro")), ["tile", "sr", "sc"], PAINT)
+    return _plain(painted.groupBy("cls").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("sr") * 64 + F.col("sc")).alias("places")))
 
 
 def recode_codes(spark: SparkSession, sf: str) -> DataFrame:
@@ -179,7 +178,7 @@ def strided_sample(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def nearest_upsample(spark: SparkSession, sf: str) -> DataFrame:
-    return _plain(resample.nearest_upsample(A.legacy(spark, sf), 32, 101).drop("tile"))
+    return _plain(resample.nearest_upsample(A.legacy(spark, sf), 32, 101))
 
 
 def bilinear_sample(spark: SparkSession, sf: str) -> DataFrame:
@@ -192,12 +191,12 @@ def quantise_elevation(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def elevation_compare(spark: SparkSession, sf: str) -> DataFrame:
-    """A raster and itself shifted by one cell, at a regular grid of places."""
+    """Rasters and themselves shifted by one cell, at a regular grid of places, by tile."""
     z = A.elevation(spark, sf)
     places = planning.sample_places(spark, 40, 25, planning.sample_side(256))
     new = z.join(F.broadcast(places.distinct()), ["r", "c"])  # as many rows as samples
-    old = z.select("r", (F.col("c") - 1).alias("c"), F.col("z").alias("old"))
-    return _plain(qa.difference_statistics(new.join(old, ["r", "c"]).withColumn("d", F.col("z") - F.col("old")), "d"), 6)
+    old = z.select("tile", "r", (F.col("c") - 1).alias("c"), F.col("z").alias("old"))
+    return _plain(qa.difference_statistics(new.join(old, ["tile", "r", "c"]).withColumn("d", F.col("z") - F.col("old")), "d", ["tile"]), 6)
 
 
 def focal_binary(spark: SparkSession, sf: str) -> DataFrame:
@@ -222,28 +221,28 @@ def focal_block(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def urban_classify(spark: SparkSession, sf: str) -> DataFrame:
-    x = A.sparse(spark, sf).where("r < 32 and c < 32").select("tile", "r", "c", (F.col("v") % 8 / 16).alias("density"), (F.col("v") * 3 % 25).alias("height"))
+    x = A.built(spark, sf).select("tile", "r", "c", (F.col("v") % 8 / 16).alias("density"), (F.col("v") * 3 % 25).alias("height"))
     base = A.legacy(spark, sf).withColumnRenamed("cls", "base")
     j = overlay.on_cells(base, x, "left").fillna({"density": 0.0, "height": 0.0})
-    return _plain(j.select("r", "c", S.urban_class(F.col("base"), F.col("density"), F.col("height"), F.col("inside")).alias("cls"), S.hi_tall(F.col("density"), F.col("height")).alias("hi_tall"), S.hi_dense(F.col("density"), F.col("height")).alias("hi_dense")))
+    return _plain(j.select("tile", "r", "c", S.urban_class(F.col("base"), F.col("density"), F.col("height"), F.col("inside")).alias("cls"), S.hi_tall(F.col("density"), F.col("height")).alias("hi_tall"), S.hi_dense(F.col("density"), F.col("height")).alias("hi_dense")))
 
 
 def neighbour_count(spark: SparkSession, sf: str) -> DataFrame:
-    return _plain(fill.neighbour_count(A.legacy(spark, sf).where("cls = 5")).drop("tile"))
+    return _plain(fill.neighbour_count(A.legacy(spark, sf).where("cls = 5")))
 
 
 def legacy_fill_round(spark: SparkSession, sf: str) -> DataFrame:
     x = A.legacy(spark, sf)
     target = F.col("inside") & F.col("cls").isin(13, 14)
-    return _plain(fill.best_neighbour(x.where(target), x.where(~target)).drop("tile"))
+    return _plain(fill.best_neighbour(x.where(target), x.where(~target)))
 
 
 def legacy_fill(spark: SparkSession, sf: str) -> DataFrame:
-    return _plain(fill.fill_legacy_urban(A.legacy(spark, sf)).select("r", "c", "cls", "inside"))
+    return _plain(fill.fill_legacy_urban(A.legacy(spark, sf)).select("tile", "r", "c", "cls", "inside"))
 
 
 def legacy_remap(spark: SparkSession, sf: str) -> DataFrame:
-    return _plain(A.legacy(spark, sf).select("r", "c", S.legacy_class(F.col("cls")).alias("cls")))
+    return _plain(A.legacy(spark, sf).select("tile", "r", "c", S.legacy_class(F.col("cls")).alias("cls")))
 
 
 def rf_profile(spark: SparkSession, sf: str) -> DataFrame:
@@ -259,7 +258,7 @@ def split_lossless(spark: SparkSession, sf: str) -> DataFrame:
     z = A.elevation(spark, sf).select("tile", "r", "c", S.quantise_elevation((F.col("z") - 245) * 200).alias("z"))
     back = resample.merge_keys(resample.split_keys(z, 10).withColumn("z", F.when((F.col("pr") == 3) & (F.col("pc") == 3), F.col("z") + 1).otherwise(F.col("z"))), 10)
     a, b = resample.split_keys(z, 10), resample.split_keys(back.select("tile", "r", "c", "z"), 10)
-    return _plain(qa.mismatches(a, b, ["piece_row", "piece_col", "pr", "pc"], "z", ["piece_row", "piece_col"]))
+    return _plain(qa.mismatches(a, b, ["tile", "piece_row", "piece_col", "pr", "pc"], "z", ["tile", "piece_row", "piece_col"]))
 
 
 def seam_check(spark: SparkSession, sf: str) -> DataFrame:
@@ -269,7 +268,7 @@ def seam_check(spark: SparkSession, sf: str) -> DataFrame:
 
 def resume_anti_join(spark: SparkSession, sf: str) -> DataFrame:
     plan = planning.chunk_plan(A.tiles(spark), 5143, 12, 12).select("tile", "row", "col")
-    done = A.table(spark, sf, "events").where("event_id < 700").select(F.element_at(F.array(*[F.lit(t) for t in dims.TILES]), (F.col("event_id") % 8 + 1).cast("int")).alias("tile"), F.expr("cast(event_id div 8 % 12 AS int)").alias("row"), F.expr("cast(event_id div 96 % 12 AS int)").alias("col"), F.when(F.col("event_id") % 5 == 0, "old").otherwise("new").alias("fingerprint"))
+    done = A.table(spark, sf, "events").select(F.element_at(F.array(*[F.lit(t) for t in dims.TILES]), (F.col("event_id") % 8 + 1).cast("int")).alias("tile"), F.expr("cast(event_id div 8 % 12 AS int)").alias("row"), F.expr("cast(event_id div 96 % 12 AS int)").alias("col"), F.when(F.col("event_id") % 1152 % 5 == 0, "old").otherwise("new").alias("fingerprint"))
     return _plain(planning.remaining(plan, done, "new"))
 
 
@@ -291,11 +290,11 @@ def sample_places(spark: SparkSession, sf: str) -> DataFrame:
 def mask_nearest(spark: SparkSession, sf: str) -> DataFrame:
     """The mask of a coarse grid on a finer one."""
     x = resample.nearest_upsample(A.legacy(spark, sf).withColumn("inside", F.col("inside").cast("int")), 32, 63, "inside")
-    return _plain(x.groupBy("r").agg(F.sum("inside").alias("inside"), F.count(F.lit(1)).alias("n")))
+    return _plain(x.groupBy("tile", "r").agg(F.sum("inside").alias("inside"), F.count(F.lit(1)).alias("n")))
 
 
 def pixels(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.createDataFrame([(round(x, 6), pixels_per_degree(x)) for x in ARCSECONDS], "arcsec double, pixels long")
+    return _plain(_arcs(spark).select(F.round("arcsec", 6).alias("arcsec"), T.intervals(F.col("arcsec")).alias("pixels")))
 
 
 ALL = (

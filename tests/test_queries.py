@@ -34,4 +34,4 @@ def test_query(spark, duck, name):
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables here")
 def test_entry(spark):
-    assert entry.entry(spark).count() == 1024
+    assert entry.entry(spark).count() == 2048
