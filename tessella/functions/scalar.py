@@ -106,7 +106,7 @@ def rf_number(x: Column) -> Column:
 
 
 def duration(seconds: Column) -> Column:
-    """h:mm:ss; --:--:-- for what isn't a duration."""
+    """hh:mm:ss of the nearest whole second, halves to even; --:--:-- for what isn't a duration."""
     s = safe_double(seconds)
-    n = F.floor(s).cast("long")
+    n = F.rint(s).cast("long")
     return F.when(s.isNull() | (s < 0), F.lit("--:--:--")).otherwise(F.format_string("%02d:%02d:%02d", F.expr("0L") + F.floor(n / 3600).cast("long"), F.floor(n % 3600 / 60).cast("long"), n % 60))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import dims
 
+# The patterns of file and tile names.
 FILE_PATTERN = r"(?i)^([NS])(\d{2})([EW])(\d{3})\.lcv$"
 NAME_PATTERN = r"^([NS])(\d{2})([EW])(\d{3})$"
 
@@ -30,6 +33,14 @@ def tile_corner(name: Column) -> Column:
     return F.when(clean.rlike(NAME_PATTERN), F.struct(lat.alias("lat"), lon.alias("lon")))
 
 
+def corner_of(name: str) -> tuple[int, int]:
+    """``tile_corner`` of one name on the driver."""
+    m = re.match(NAME_PATTERN, name.strip().upper())
+    if not m:
+        raise ValueError(f"{name} is no tile")
+    return int(m[2]) * (-1 if m[1] == "S" else 1), int(m[4]) * (-1 if m[3] == "W" else 1)
+
+
 def bounds(corner: Column) -> Column:
     lat, lon = corner["lat"], corner["lon"]
     return F.struct(lon.alias("west"), lat.alias("south"), (lon + 1).alias("east"), (lat + 1).alias("north"))

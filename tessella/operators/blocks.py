@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import dims
 
 BLOCK_SCHEMA = "tile string, br int, bc int, r0 int, c0 int, h int, w int, data binary"
+MEASURES = ("dominant", "source", "water", "bare")
 
 
 def split_runs(runs: DataFrame, block: int) -> DataFrame:
@@ -23,7 +24,7 @@ def painted_majority(runs: DataFrame, n_rows: int, n_cols: int, block: int, fact
     """Class blocks from runs ``(tile, r, c0, c1, prio, fid, cls)`` on a grid ``factor`` times finer.
 
     Each block paints its runs in order of (prio, fid) and takes the thresholded majority: the dense form of ``paint`` and
-    ``threshold_majority``. A block's memory is (block * factor) squared bytes, whatever the data.
+    ``threshold_majority``, with its measures as counts of sub-samples, a byte a cell each. A block's memory is some times (block * factor) squared bytes, whatever the data.
     """
     ranks = [dims.TIE_RANK[c] for c in range(13)]
 
@@ -43,9 +44,28 @@ def painted_majority(runs: DataFrame, n_rows: int, n_cols: int, block: int, fact
         key = np.where(counts >= least, counts * 16 + np.array(ranks)[:, None, None], -1)
         key[counts == 0] = -1
         best = np.where(key.max(0) >= 0, key.argmax(0), dims.NODATA).astype(np.uint8)
-        return pa.table([pa.array([tile]), *[pa.array([x], pa.int32()) for x in (br, bc, br * block, bc * block, h, w)], pa.array([best.tobytes()], pa.binary())], names=["tile", "br", "bc", "r0", "c0", "h", "w", "data"])
+        won = np.where(best == dims.NODATA, 0, np.take_along_axis(counts, np.minimum(best, 12)[None], 0)[0])
+        measures = [x.astype(np.uint8).tobytes() for x in (won, counts.sum(0), counts[0], counts[12])]
+        return pa.table([pa.array([tile]), *[pa.array([x], pa.int32()) for x in (br, bc, br * block, bc * block, h, w)], *[pa.array([x], pa.binary()) for x in (best.tobytes(), *measures)]], names=["tile", "br", "bc", "r0", "c0", "h", "w", "data", *MEASURES])
 
-    return split_runs(runs, block * factor).groupBy("tile", "br", "bc").applyInArrow(run, BLOCK_SCHEMA)
+    if factor > 15:
+        raise ValueError("a cell has 225 sub-samples at most")
+    return split_runs(runs, block * factor).groupBy("tile", "br", "bc").applyInArrow(run, BLOCK_SCHEMA + "".join(f", {k} binary" for k in MEASURES))
+
+
+def measured_cells(blocks: DataFrame, factor: int) -> DataFrame:
+    """``tile, r, c, cls, dominant, source, water, bare`` of blocks of ``painted_majority``: cells with a sub-sample, measures as shares of a cell."""
+
+    def run(batches):
+        for batch in batches:
+            for x in batch.to_pylist():
+                a, n = np.frombuffer(x["data"], np.uint8), factor * factor
+                counts = [np.frombuffer(x[k], np.uint8) for k in MEASURES]
+                at = np.flatnonzero(counts[1])
+                r, c = np.divmod(at, x["w"])
+                yield pa.RecordBatch.from_arrays([pa.array([x["tile"]] * len(at), pa.string()), pa.array(r + x["r0"], pa.int32()), pa.array(c + x["c0"], pa.int32()), pa.array(a[at].astype(np.int32)), *[pa.array(k[at] / n) for k in counts]], ["tile", "r", "c", "cls", *MEASURES])
+
+    return blocks.mapInArrow(run, "tile string, r int, c int, cls int" + "".join(f", {k} double" for k in MEASURES))
 
 
 def to_cells(blocks: DataFrame, value: str = "cls") -> DataFrame:

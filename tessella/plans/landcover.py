@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import dims
-from ..config import LandCoverConfig, pixels_per_degree
+from ..config import LandCoverConfig, fingerprint, pixels_per_degree
 from ..functions import scalar as S
 from ..functions import tiles as T
 from ..operators import blocks, fill, focal, geometry, majority, overlay, planning, qa, quantile, resample
@@ -23,8 +24,10 @@ def prepare_stands(stands: DataFrame, p70: float | None = dims.FOREST_P70) -> Da
 
 
 def prepare_mapped(shapes: DataFrame, code: str, mapping: dict[int, int]) -> DataFrame:
-    """Shapes whose code is listed, with its class."""
-    return shapes.select("fid", S.recode(mapping, F.col(code)).alias("cls"), "rings").where("cls is not null")
+    """Shapes whose code is listed, with its class. The filter comes first, and on a column of whole numbers it is one that Parquet applies itself."""
+    whole = dict(shapes.dtypes)[code] in ("tinyint", "smallint", "int", "bigint")
+    kept = shapes.where((F.col(code) if whole else S.safe_int(F.col(code))).isin(*mapping))
+    return kept.select("fid", S.recode(mapping, F.col(code)).alias("cls"), "rings")
 
 
 def prepare_hydro(shapes: DataFrame, symbols: tuple[str, ...] = dims.HYDRO_SYMBOLS) -> DataFrame:
@@ -67,6 +70,13 @@ def runs_on_tiles(shapes: DataFrame, keep: list[str], tiles: DataFrame, arcsec:
     return geometry.scan_runs(near.select("tile", *keep, geometry.transformed(F.col("rings"), to_grid).alias("rings")), ["tile", *keep], n, n)
 
 
+def kernels(config: LandCoverConfig) -> list[tuple[int, list[tuple[int, int, float]]]]:
+    """A kernel for each latitude that tiles have."""
+    ns = 3600 / pixels_per_degree(config.urban_arcsec) * dims.METRES_PER_ARCSECOND
+    lats = sorted({T.corner_of(t)[0] for t in config.tiles})
+    return [(lat, focal.kernel(config.urban_radius_m, ns * math.cos(math.radians(lat + 0.5)), ns, config.kernel_mode, config.kernel_quadrature)) for lat in lats]
+
+
 @dataclass
 class LandCover:
     """Tables of a build; each is lazy. ``cells``: tile, r, c, original, inside, natural, cls, status and measures."""
@@ -77,39 +87,32 @@ class LandCover:
     histogram: DataFrame
 
 
-def natural_classes(layers: dict[str, DataFrame], tiles: DataFrame, config: LandCoverConfig, dense: bool = False) -> DataFrame:
-    """Thresholded majority of the painted layers: as blocks if ``dense`` (classes only), else as cells with their measures."""
+def natural_classes(layers: dict[str, DataFrame], tiles: DataFrame, config: LandCoverConfig, dense: bool = True) -> DataFrame:
+    """Thresholded majority of the painted layers, as cells with their measures: by blocks, or if not ``dense`` by rows of sub-samples, which suits a few small shapes."""
     shapes = overlay.layered({k: v.select("fid", "cls", "rings") for k, v in layers.items()})
     runs = runs_on_tiles(shapes, ["prio", "fid", "cls"], tiles, config.arcsec, config.supersample)
     side = pixels_per_degree(config.arcsec) + 1
     if dense:
-        return blocks.painted_majority(runs, side, side, config.block_size, config.supersample, config.thresholds)
+        return blocks.measured_cells(blocks.painted_majority(runs, side, side, config.block_size, config.supersample, config.thresholds), config.supersample)
     fine = runs.select("tile", F.col("r").alias("sr"), F.explode(F.sequence("c0", "c1")).alias("sc"), "prio", "fid", "cls")
     return majority.threshold_majority(overlay.paint(fine, ["tile", "sr", "sc"], ["prio", "fid"]), config.supersample, config.thresholds)
 
 
-def urban_measures(buildings: DataFrame, tiles: DataFrame, config: LandCoverConfig) -> DataFrame:
-    """``tile, r, c, density, height`` on the target grid, from buildings on the finer analysis grid."""
+def urban_measures(buildings: DataFrame, tiles: DataFrame, config: LandCoverConfig, dense: bool = True) -> DataFrame:
+    """``tile, r, c, density, height`` on the target grid, from buildings on the finer analysis grid: by blocks, or if not ``dense`` by rows of fine cells."""
     factor = config.urban_supersample
     runs = runs_on_tiles(buildings, ["fid", "height"], tiles, config.urban_arcsec, factor)
+    side = pixels_per_degree(config.urban_arcsec) + 1
+    per = round(pixels_per_degree(config.urban_arcsec) / pixels_per_degree(config.arcsec))
+    if dense:
+        parts = [focal.urban_blocks(runs.where(T.tile_corner(F.col("tile"))["lat"] == lat), kernel, side, side, factor, per, config.block_size) for lat, kernel in kernels(config)]
+        return reduce(DataFrame.unionByName, parts)
     fine = geometry.last_burn(runs.select("tile", "fid", "height", "r", F.explode(F.sequence("c0", "c1")).alias("c")), "height", keys=("tile", "r", "c"))
     fine = fine.select("tile", "r", "c", F.lit(1.0).alias("footprint"), F.col("height").alias("height_area"), (F.col("height") > 0).cast("double").alias("valid"))
     key = ["tile", F.floor(F.col("r") / factor).cast("int").alias("r"), F.floor(F.col("c") / factor).cast("int").alias("c")]
     cells = fine.groupBy(*key).agg(*[(F.sum(v) / F.lit(float(factor**2))).alias(v) for v in ("footprint", "height_area", "valid")])
-    side = pixels_per_degree(config.urban_arcsec) + 1
-    per = round(pixels_per_degree(config.urban_arcsec) / pixels_per_degree(config.arcsec))
-    parts = []
-    for lat in sorted({int(t[1:3]) * (-1 if t[0] == "S" else 1) for t in config.tiles}):  # a kernel for each latitude
-
-
-        ns = 3600 / pixels_per_degree(config.urban_arcsec) * dims.METRES_PER_ARCSECOND
-        kernel = focal.kernel(config.urban_radius_m, ns * math.cos(math.radians(lat + 0.5)), ns, config.kernel_mode, config.kernel_quadrature)
-        some = cells.where(T.tile_corner(F.col("tile"))["lat"] == lat)
-        parts.append(focal.urban_measures(some, kernel, side, side))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return resample.strided(out, per)
+    parts = [focal.urban_measures(cells.where(T.tile_corner(F.col("tile"))["lat"] == lat), kernel, side, side) for lat, kernel in kernels(config)]
+    return resample.strided(reduce(DataFrame.unionByName, parts), per)
 
 
 def build(spark: SparkSession, layers: dict[str, DataFrame], buildings: DataFrame | None, legacy: DataFrame, mask: DataFrame, config: LandCoverConfig) -> LandCover:
@@ -144,6 +147,7 @@ def build(spark: SparkSession, layers: dict[str, DataFrame], buildings: DataFram
 def check(result: LandCover) -> None:
     """All gates; raises at the first one that doesn't hold."""
     cells = result.cells
+    qa.gate_no_legacy_urban(cells.select("inside", F.col("legacy").alias("cls")))
     qa.gate_outside_unchanged(cells)
     qa.gate_class_range(cells)
     qa.gate_status_partition(cells)
@@ -156,6 +160,54 @@ def outputs(result: LandCover, side: int, block: int = 512) -> DataFrame:
     return blocks.raster_rows(blocks.to_blocks(result.cells.select("tile", "r", "c", "cls"), side, side, block))
 
 
+def prepared(spark: SparkSession, sources: dict[str, DataFrame], config: LandCoverConfig, folder: str, rebuild: bool = False, lon0: float | None = None) -> dict[str, DataFrame]:
+    """``prepare_layers`` as written tables under ``folder/<key>``; the key depends on the options and the layers' names, and a layer that is there is not made again unless ``rebuild``.
+
+    With ``lon0``, the sources' coordinates are transverse Mercator metres around that meridian, and come out as longitude and latitude.
+    """
+    out = {}
+    for name, df in prepare_layers(sources, config).items():
+        path = f"{folder}/{fingerprint(config)}/{name}{'' if lon0 is None else f'-{lon0:g}'}"
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        if rebuild or not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+            if lon0 is not None:
+                df = df.withColumn("rings", geometry.transformed(F.col("rings"), lambda x, y: geometry.geographic(x, y, lon0)))
+            df.write.mode("overwrite").parquet(path)
+        out[name] = spark.read.schema(df.schema).parquet(path)
+    return out
+
+
+def boundary_mask(spark: SparkSession, boundary: DataFrame | None, fallback: DataFrame, tiles: DataFrame, arcsec: float = 1.0) -> DataFrame:
+    """``tile, r, c`` of the node cells inside the state: by its one boundary shape, or by all shapes of ``fallback`` where there is none. Several boundary shapes raise."""
+    shapes = fallback
+    if boundary is not None:
+        n = boundary.limit(2).count()
+        if n > 1:
+            raise ValueError("the boundary must be one shape")
+        shapes = boundary if n else fallback
+    runs = runs_on_tiles(shapes.select("fid", "rings"), ["fid"], tiles, arcsec, 1)
+    return runs.select("tile", "r", F.explode(F.sequence("c0", "c1")).alias("c")).distinct()
+
+
+def warped_mask(raster: DataFrame, gt: tuple[float, float, float, float], tiles: DataFrame, arcsec: float = 1.0, nodata: float = 0.0) -> DataFrame:
+    """``tile, r, c`` of the node cells whose centre lies in a cell with data of ``raster (r, c, value)``, whose geotransform is (west, cell width, north, cell height).
+
+    Each raster cell spreads to the node cells that it covers, so that the nearest lookup needs no join.
+    """
+    n = pixels_per_degree(arcsec)
+    west, dx, north, dy = (F.lit(float(x)) for x in gt)
+    some = raster.where(is_inside(F.col("value"), nodata))
+    # nodes lie on multiples of 1 / n degree; a cell has those in [west, east) and (south, north]
+    i0, i1 = F.ceil((west + F.col("c") * dx) * n - 1e-9), F.ceil((west + (F.col("c") + 1) * dx) * n - 1e-9) - 1
+    j0, j1 = F.floor((north - (F.col("r") + 1) * dy) * n + 1e-9) + 1, F.floor((north - F.col("r") * dy) * n + 1e-9)
+    nodes = some.select(i0.alias("i0"), i1.alias("i1"), j0.alias("j0"), j1.alias("j1")).where("i0 <= i1 and j0 <= j1").select(F.explode(F.sequence("i0", "i1")).alias("i"), "j0", "j1").select("i", F.explode(F.sequence("j0", "j1")).alias("j"))
+    # a node on a degree line belongs to the tiles on both sides
+    corner = T.tile_corner(F.col("tile"))
+    boxes = F.broadcast(tiles.select("tile", (corner["lon"] * n).alias("x"), (corner["lat"] * n).alias("y")))  # tiles, not cells
+    met = nodes.join(boxes, F.col("i").between(F.col("x"), F.col("x") + n) & F.col("j").between(F.col("y"), F.col("y") + n))
+    return met.select("tile", (F.col("y") + n - F.col("j")).cast("int").alias("r"), (F.col("i") - F.col("x")).cast("int").alias("c")).distinct()
+
+
 def is_inside(mask_value: Column, nodata: float = 0.0) -> Column:
     """A mask cell counts if it has data."""
     return mask_value.isNotNull() & (mask_value != nodata)

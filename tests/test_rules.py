@@ -48,7 +48,7 @@ def test_parsing(spark):
     assert [x[0] for x in values(spark, rows, "s string", S.safe_int(F.col("s")))] == [12, 7, None, None, None, None, None, -3]
     assert [x[0] for x in values(spark, [(2,), (9,), (0,), (200,)], "c int", S.legacy_class(F.col("c")))] == [3, 6, 0, 200]
     assert [x[0] for x in values(spark, [(1 / 9,), (0.25,), (1.0,), (0.7,)], "a double", S.resolution_label(F.col("a")))] == ["1over9", "1over4", "1over1", "0p7arcsec"]
-    assert [x[0] for x in values(spark, [(3661.0,), (-1.0,), (None,)], "a double", S.duration(F.col("a")))] == ["01:01:01", "--:--:--", "--:--:--"]
+    assert [x[0] for x in values(spark, [(3661.0,), (59.6,), (0.5,), (-1.0,), (None,)], "a double", S.duration(F.col("a")))] == ["01:01:01", "00:01:00", "00:00:00", "--:--:--", "--:--:--"]
     assert [x[0] for x in values(spark, [(50.0,), (300.0,), (-1.0,), (None,), (float("nan"),)], "a double", S.building_height(F.col("a")))] == [50.0, 0.0, 0.0, 0.0, 0.0]
 
 
