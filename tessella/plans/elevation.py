@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from ..config import ElevationConfig, fingerprint, split_name
 from ..functions import scalar as S
+from ..functions import tiles as T
 from ..operators import planning, qa, resample
-from ..sources import imagery
+from ..sources import imagery, rasters
 from ..streaming import ingest
 
 
@@ -32,43 +33,127 @@ def build(spark: SparkSession, config: ElevationConfig, folder: str, load: Calla
     return ingest.ingested(spark, done, out, key, ["tile", "r", "c"]).select("tile", "r", "c", "z")
 
 
-def compare(spark: SparkSession, z: DataFrame, reference: DataFrame | None, config: ElevationConfig, x0: float = 0.0, y0: float = 0.0, scale: float = 1.0) -> DataFrame:
-    """Difference statistics by tile at a regular grid of places; ``reference (r, c, z)`` is read bilinearly at ``x0 + scale * x``. Without one, a row a tile says so."""
+def write_tiles(z: DataFrame, config: ElevationConfig, folder: str) -> DataFrame:
+    """16-bit BIL files with headers, one a tile: ``tile, path, length``."""
+    n, step = config.pixels, 1 / config.pixels
+
+    def header(tile: str) -> str:
+        lat, lon = T.corner_of(tile)
+        return rasters.bil_header(n, n, lon, lat + 1, step)
+
+    if config.overwrite:
+        for t in planning.first_seen(list(config.tiles)):
+            rasters.remove_sidecars(f"{tile_folder(config, folder)}/{t}.bil")
+    files = rasters.write_raster_files(rasters.int16_rows(z, n), tile_folder(config, folder), n, 2 * n, ".bil", header)
+    found = z.sparkSession.createDataFrame(files.collect(), files.schema)  # a row a tile
+    qa.gate_file_size(found, 2 * n * n)
+    return found
+
+
+def stored(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
+    """``tile, r, c, z`` of BIL files; a missing one raises."""
+    return rasters.read_bil(spark, [f"{folder}/{x}.bil" for x in names])
+
+
+def compare(spark: SparkSession, z: DataFrame, reference: DataFrame | None, config: ElevationConfig, x0: float = 0.0, y0: float = 0.0, scale: float = 1.0, gt: tuple[float, float, float, float] | None = None) -> DataFrame:
+    """Difference statistics by tile at a regular grid of places.
+
+    ``reference (tile, r, c, z)`` has a raster a tile, read bilinearly at ``x0 + scale * x``. One without ``tile`` is one raster for all, read where its
+    geotransform ``gt`` (west, cell width, north, cell height) puts a place's longitude and latitude; for a single tile ``gt`` may be left out. Without a reference, a row a tile says so.
+    """
     if reference is None:
         return z.select("tile").distinct().withColumn("status", F.lit("NO_REFERENCE"))
+    if "tile" not in reference.columns and gt is None and len(config.tiles) > 1:
+        raise ValueError("one reference for several tiles needs its geotransform")
     places = planning.sample_places(spark, config.pixels, config.pixels, planning.sample_side(config.compare_samples)).distinct()
     new = z.where("z is not null").join(F.broadcast(places), ["r", "c"])  # as many places as samples
-    points = new.select(F.struct("tile", "r", "c").alias("id"), (x0 + scale * (F.col("c") + 0.5)).alias("x"), (y0 + scale * (F.col("r") + 0.5)).alias("y"))
+    x, y = x0 + scale * (F.col("c") + 0.5), y0 + scale * (F.col("r") + 0.5)
+    if gt is not None:
+        corner, n = T.tile_corner(F.col("tile")), config.pixels
+        x = (corner["lon"] + (F.col("c") + 0.5) / n - gt[0]) / gt[1]
+        y = (gt[2] - (corner["lat"] + 1 - (F.col("r") + 0.5) / n)) / gt[3]
+    points = new.select(F.struct("tile", "r", "c").alias("id"), "tile", x.alias("x"), y.alias("y"))
     old = resample.bilinear(points, reference, "id").select("id.*", F.col("z").alias("old"))
     return qa.difference_statistics(new.join(old, ["tile", "r", "c"]).withColumn("d", F.col("z") - F.col("old")), "d", ["tile"])
 
 
-def split(spark: SparkSession, z: DataFrame, config: ElevationConfig) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(pieces' cells, mismatches by piece over all cells, seams)."""
-    tiles = z.select("tile").distinct()
-    plan = planning.split_plan(tiles, config.pixels, config.split_grid)
-    part = config.pixels // config.split_grid
-    pieces = resample.split_keys(z, part)
-    back = resample.split_keys(resample.merge_keys(pieces.drop("r", "c"), part).select("tile", "r", "c", "z"), part)
-    keys = ["tile", "piece_row", "piece_col"]
-    return pieces, qa.mismatches(pieces, back, [*keys, "pr", "pc"], "z", keys), qa.seams(plan)
-
-
-def run(spark: SparkSession, config: ElevationConfig, folder: str, load: Callable[[dict], np.ndarray], reference: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The stages that ``config.stage`` names, by name of their result."""
-    z = build(spark, config, folder, load)
-    out = {"cells": z}
-    if config.stage in ("qa", "all", "build"):
-        counts = z.groupBy("tile").agg(F.count(F.lit(1)).alias("length"))
-        qa.gate_file_size(counts, config.pixels**2)
+def pieces_of(spark: SparkSession, config: ElevationConfig) -> DataFrame:
+    tiles = spark.createDataFrame([(t,) for t in planning.first_seen(list(config.tiles))], "tile string")
+    return planning.split_plan(tiles, config.pixels, config.split_grid)
+
+
+def write_pieces(z: DataFrame, config: ElevationConfig, folder: str) -> DataFrame:
+    """The tiles cut into BIL files of their pieces, without loss: ``tile`` (a piece's name), ``path, length``."""
+    spark, part = z.sparkSession, config.pixels // config.split_grid
+    corners = {x["name"]: (x["west"], x["north"]) for x in pieces_of(spark, config).collect()}  # a row a piece
+    keys = resample.split_keys(z, part)
+    cells = keys.select(F.format_string("%s_q%02d%02d", "tile", "piece_row", "piece_col").alias("tile"), F.col("pr").alias("r"), F.col("pc").alias("c"), "z")
+    step = 1 / config.pixels
+    files = rasters.write_raster_files(rasters.int16_rows(cells, part), f"{folder}/{piece_folder(config)}", part, 2 * part, ".bil", lambda name: rasters.bil_header(part, part, *corners[name], step))
+    found = spark.createDataFrame(files.collect(), files.schema)
+    qa.gate_file_size(found, 2 * part * part)
+    return found
+
+
+def check_pieces(spark: SparkSession, config: ElevationConfig, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(mismatches by piece over all cells of the stored tiles and the stored pieces, seams by the stored headers, totals over all pieces); raises if a gate doesn't hold."""
+    part, keys = config.pixels // config.split_grid, ["tile", "piece_row", "piece_col"]
+    plan = pieces_of(spark, config).collect()
+    where = f"{folder}/{piece_folder(config)}"
+    whole = resample.split_keys(stored(spark, tile_folder(config, folder), planning.first_seen(list(config.tiles))), part)
+    named = spark.createDataFrame([(x["name"], x["tile"], x["row"], x["col"]) for x in plan], "name string, of string, piece_row int, piece_col int")
+    pieces = stored(spark, where, [x["name"] for x in plan]).withColumnsRenamed({"tile": "name", "r": "pr", "c": "pc"})
+    pieces = pieces.join(F.broadcast(named), "name").withColumnRenamed("of", "tile")  # a row a piece
+    counts = qa.mismatches(whole, pieces, [*keys, "pr", "pc"], "z", keys)
+    qa.gate_lossless(counts)
+    bounds = [(x["tile"], x["row"], x["col"], *rasters.header_bounds(f"{where}/{x['name']}.bil").values()) for x in plan]
+    found = spark.createDataFrame(bounds, "tile string, row int, col int, west double, south double, east double, north double")
+    planned = spark.createDataFrame(plan).select("tile", "row", "col", *[F.col(k).alias(f"want_{k}") for k in ("west", "south", "east", "north")])
+    both = found.join(planned, ["tile", "row", "col"])
+    gt = both.select(F.array("west", "south", "east", "north").alias("gt"), F.array("want_west", "want_south", "want_east", "want_north").alias("want"), F.lit(4326).alias("srid"))
+    qa.gate_geotransform(gt, 1e-9)
+    qa.gate_seams(found, 1e-9)
+    totals = counts.groupBy("tile").agg(F.count(F.lit(1)).alias("pieces"), F.sum("compared").alias("compared"), F.sum("mismatches").alias("mismatches"), F.max("max_abs").alias("max_abs"))
+    return counts, qa.seams(found), totals
+
+
+def run(spark: SparkSession, config: ElevationConfig, folder: str, load: Callable[[dict], np.ndarray] | None = None, reference: DataFrame | None = None, gt: tuple[float, float, float, float] | None = None) -> dict[str, DataFrame]:
+    """The stages that ``config.stage`` names, by name of their result. Only a build fetches and writes tiles; the other stages read those that are stored.
+
+    Without ``load`` chunks come from ``config.service_url``. ``folder`` is one that all executors share.
+    """
+    out: dict[str, DataFrame] = {}
+    if config.stage in ("build", "all"):
+        load = load or imagery.service_loader(config.service_url, f"{folder}/chunks", config.interpolation, config.retries, config.timeout_s)
+        out["tiles"] = write_tiles(build(spark, config, folder, load), config, folder)
+    names = planning.first_seen(list(config.tiles))
+    out["cells"] = z = stored(spark, tile_folder(config, folder), names)
+    if config.stage in ("qa", "all"):
+        manifest = ingest.manifest(spark, f"{folder}/manifest").join(spark.createDataFrame([(t,) for t in names], "tile string"), "tile", "left_semi")
+        qa.gate_storage(manifest, z.select("tile").distinct())
+        bounds = [(t, *rasters.header_bounds(f"{tile_folder(config, folder)}/{t}.bil").values()) for t in names]
+        found = spark.createDataFrame(bounds, "tile string, west double, south double, east double, north double")
+        corner = T.tile_corner(F.col("tile"))
+        want = F.array(*[x.cast("double") for x in (corner["lon"], corner["lat"], corner["lon"] + 1, corner["lat"] + 1)])
+        qa.gate_geotransform(found.select(F.array("west", "south", "east", "north").alias("gt"), want.alias("want"), F.lit(4326).alias("srid")), 1e-9)
     if config.stage in ("compare", "all"):
-        out["comparison"] = compare(spark, z, reference, config)
+        out["comparison"] = compare(spark, z, reference, config, gt=gt)
+    if config.stage in ("split", "all"):
+        out["pieces"] = write_pieces(z, config, folder)
     if config.stage in ("split", "split-qa", "all"):
-        out["pieces"], out["split_mismatches"], out["seams"] = split(spark, z, config)
-        qa.gate_lossless(out["split_mismatches"])
-        qa._hold(out["seams"], open_seam=F.col("gap") >= 1e-12)
+        out["split_mismatches"], out["seams"], out["split_totals"] = check_pieces(spark, config, folder)
+    if config.stage in ("split", "all"):
+        paths = [f"{folder}/{piece_folder(config)}/{x.name}.bil" for x in pieces_of(spark, config).select("name").collect()]
+        rasters.write_mosaic(f"{folder}/{piece_folder(config)}.vrt", {p: rasters.header_bounds(p) | {"step": 1 / config.pixels} for p in paths}, required=True)
+    if config.stage in ("build", "all"):
+        paths = [f"{tile_folder(config, folder)}/{t}.bil" for t in names]
+        rasters.write_mosaic(f"{tile_folder(config, folder)}.vrt", {p: rasters.header_bounds(p) | {"step": 1 / config.pixels} for p in paths})
     return out
 
 
+def tile_folder(config: ElevationConfig, folder: str) -> str:
+    return f"{folder}/{config.label}_BIL"
+
+
 def piece_folder(config: ElevationConfig) -> str:
     return split_name(config.label, config.split_grid)

@@ -6,8 +6,10 @@ import json
 import os
 import sqlite3
 import struct
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -15,6 +17,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.geometry import RINGS
 
+# The kinds of files that hold layers.
 EXTENSIONS = (".shp", ".gpkg", ".sqlite", ".db", ".fgb", ".geojson")
 
 
@@ -154,4 +157,42 @@ def service_pages(region: str, total: int, page: int = 5000) -> list[dict]:
     return [{"where": f"ggo='{region}'", "resultOffset": at, "resultRecordCount": min(page, total - at), "outFields": "*", "f": "geojson"} for at in range(0, total, page)]
 
 
+# The regions that the public service knows.
 REGIONS = tuple(f"{i:02d}" for i in range(1, 15))
+
+
+def read_service(spark: SparkSession, ask: Callable[[dict], bytes], fields: dict[str, str], regions: tuple[str, ...] = REGIONS, page: int = 5000, retries: int = 5, wait: Callable[[float], None] = time.sleep) -> tuple[DataFrame, DataFrame]:
+    """(features ``region, fid, <fields>, geometry``, parts ``part, n``) of a feature service: a partition a region, its pages one after the other until one isn't full.
+
+    ``ask`` sends the parameters of ``service_pages`` and returns GeoJSON; a failing page is asked for again ``retries`` times in all. ``geometry`` is GeoJSON text. ``fid`` counts
+    within a region. The features are lazy: write them before ``gate_parts`` compares them with the parts.
+    """
+    names = ["region", "fid", *fields, "geometry"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for region in (x for batch in batches for x in batch.column(0).to_pylist()):
+            at = 0
+            while True:
+                query = service_pages(region, page, page)[0] | {"resultOffset": at}
+                for attempt in range(retries):
+                    try:
+                        found = json.loads(ask(query))["features"]
+                        break
+                    except (OSError, ValueError, KeyError) as error:
+                        if attempt + 1 == retries:
+                            raise OSError(f"region {region}, offset {at}: no valid answer") from error
+                        wait(min(60.0, 2.0**attempt))
+                text = lambda x: None if x is None else str(x)
+                columns = [[region] * len(found), range(at, at + len(found)), *[[text(x["properties"].get(k)) for x in found] for k in fields], [json.dumps(x["geometry"]) for x in found]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if k == "fid" else pa.string()) for k, c in zip(names, columns)], names)
+                at += len(found)
+                if len(found) < page:
+                    break
+
+    plan = spark.createDataFrame([(x,) for x in regions], "region string").repartition(len(regions), "region")
+    schema = ", ".join(f"`{k}` {'long' if k == 'fid' else 'string'}" for k in names)
+    rows = plan.mapInArrow(run, schema)
+    rows = rows.select("region", "fid", *[F.col(f"`{k}`").try_cast(t).alias(k) for k, t in fields.items()], "geometry")
+    known = spark.createDataFrame([(x,) for x in regions], "part string")
+    parts = known.join(rows.groupBy(F.col("region").alias("part")).agg(F.count(F.lit(1)).alias("n")), "part", "left").fillna({"n": 0})
+    return rows, parts

@@ -1,5 +1,6 @@
 """Files in and out, resumable builds, and the two pipelines on small grids."""
 
+import dataclasses
 import json
 import sqlite3
 import struct
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessella.config import ElevationConfig, LandCoverConfig
-from tessella.operators import blocks, geometry
+from tessella.operators import blocks, geometry, qa
 from tessella.plans import elevation, landcover
 from tessella.sources import imagery, rasters, tables, vectors
 from tessella.streaming import ingest
@@ -127,7 +128,98 @@ def test_fetch(tmp_path):
         imagery.fetch("http://x", str(tmp_path / "d.tif"), retries=2, wait=lambda _: None, opener=lambda *_, **__: Answer(b""))
     assert sorted(x.name for x in tmp_path.iterdir()) == ["c.tif"]
     url = imagery.export_url("http://s/", {"west": 14.0, "south": 45.0, "east": 14.5, "north": 45.5, "width": 10, "height": 20}, "nearest")
-    assert "size=10%2C20" in url and "RSP_NearestNeighbor" in url
+    assert "size=10%2C20" in url and "RSP_NearestNeighbor" in url and "adjustAspectRatio=false" in url and "noDataInterpretation" not in url
+    assert url == imagery.export_url("http://s/exportImage", {"west": 14.0, "south": 45.0, "east": 14.5, "north": 45.5, "width": 10, "height": 20}, "nearest")
+
+
+def test_fetch_checks_what_it_fetched(tmp_path):
+    waits, good = [], b"g" * 2000
+    answers = [Answer(b"b" * 2000), Answer(good)]
+    valid = lambda p: open(p, "rb").read() == good  # noqa: E731, SIM115
+    path = imagery.fetch("http://x", str(tmp_path / "c.tif"), wait=waits.append, opener=lambda *_, **__: answers.pop(0), valid=valid)
+    assert valid(path) and waits == [1.0]
+    bad = Answer(good)
+    bad.status = 503
+    with pytest.raises(OSError):
+        imagery.fetch("http://x", str(tmp_path / "d.tif"), retries=1, wait=waits.append, opener=lambda *_, **__: bad)
+    assert waits == [1.0]
+
+
+def tiff(part, packing, predictor, order="<"):
+    """A one-strip float32 TIFF, written by hand."""
+    h, w = part.shape
+    if predictor == 3:
+        planes = part.astype(">f4").view(np.uint8).reshape(h, w, 4).transpose(0, 2, 1).reshape(h, -1)
+        raw = np.diff(planes, axis=1, prepend=np.uint8(0)).astype(np.uint8).tobytes()
+    else:
+        raw = part.astype(f"{order}f4").tobytes()
+    raw = zlib.compress(raw) if packing == 8 else lzw(raw) if packing == 5 else raw
+    tags = [(256, 4, w), (257, 4, h), (258, 3, 32), (259, 3, packing), (273, 4, 8), (277, 3, 1), (278, 4, h), (279, 4, len(raw)), (317, 3, predictor), (339, 3, 3)]
+    body = struct.pack(f"{order}H", len(tags))
+    for tag, kind, value in tags:
+        body += struct.pack(f"{order}HHI", tag, kind, 1) + struct.pack(f"{order}I" if kind == 4 else f"{order}Hxx", value)
+    return (b"II*\0" if order == "<" else b"MM\0*") + struct.pack(f"{order}I", 8 + len(raw)) + raw + body + b"\0" * 4
+
+
+def lzw(raw):
+    """TIFF's LZW, with the width of a code that its decoder expects."""
+    table, now, bits, width = {bytes([i]): i for i in range(256)}, b"", "1" + "0" * 8, 9
+    for i in range(len(raw)):
+        c = raw[i : i + 1]
+        if now + c in table:
+            now += c
+            continue
+        bits += format(table[now], f"0{width}b")
+        table[now + c] = len(table) + 2
+        now = c
+        width = max(9, (len(table) + 2).bit_length())
+        if len(table) + 2 >= 4094:
+            bits += format(table[now], f"0{width}b") + format(256, f"0{width}b")
+            table, now, width = {bytes([i]): i for i in range(256)}, b"", 9
+    if now:
+        bits += format(table[now], f"0{width}b")
+        width = max(9, min(12, (len(table) + 3).bit_length()))
+    bits += format(257, f"0{width}b")
+    bits += "0" * (-len(bits) % 8)
+    return int(bits, 2).to_bytes(len(bits) // 8, "big")
+
+
+@pytest.mark.parametrize("packing, predictor, order", [(1, 1, "<"), (1, 1, ">"), (8, 1, "<"), (8, 3, "<"), (5, 1, "<"), (5, 3, ">")])
+def test_tiff_is_read_as_written(packing, predictor, order):
+    part = (np.arange(60 * 33).reshape(60, 33) % 97 * 1.25 - 7).astype(np.float32)
+    assert np.array_equal(rasters.read_geotiff(tiff(part, packing, predictor, order))["data"], part)
+
+
+def test_geotiff_round_trip():
+    part = np.random.default_rng(1).normal(size=(300, 270)).astype(np.float32)
+    x = rasters.read_geotiff(rasters.geotiff(part, 14.0, 46.0, 1 / 300, -32768.0))
+    assert np.array_equal(x["data"], part) and x["srid"] == 4326 and x["nodata"] == -32768 and x["dtype"] == "float32"
+    assert np.allclose(x["gt"], [14.0, 1 / 300, 0, 46.0, 0, -1 / 300], atol=1e-15)
+    with pytest.raises(ValueError):
+        rasters.read_geotiff(b"no")
+
+
+def test_service_loader(spark, tmp_path):
+    """Chunks over the wire: the request, decoding, checks, and the kept file."""
+    step = 1 / 80
+    config = ElevationConfig(tiles=("N45E014",), arcsec=45.0, chunk_cols=2, chunk_rows=2, split_grid=4)
+    chunk = {"tile": "N45E014", "row": 0, "col": 1, "west": 14.5, "south": 45.5, "east": 15.0, "north": 46.0, "width": 40, "height": 40}
+    z = np.random.default_rng(3).integers(0, 1 << 20, (40, 40)).astype(np.float32)
+    z[3, 3] = -32768
+    asked = []
+
+    def opener(url, timeout):
+        asked.append(url)
+        return Answer(rasters.geotiff(z, 14.5, 46.0, step, -32768.0))
+
+    load = imagery.service_loader("http://s/ImageServer/exportImage", str(tmp_path), config.interpolation, opener=opener)
+    got = load(chunk)
+    assert np.isnan(got[3, 3]) and np.array_equal(np.nan_to_num(got, nan=-32768), z) and len(asked) == 1
+    assert np.array_equal(load(chunk), got, equal_nan=True) and len(asked) == 1
+    with pytest.raises(ValueError):
+        imagery.decode_chunk(rasters.geotiff(z, 14.4, 46.0, step, -32768.0), chunk)
+    with pytest.raises(ValueError):
+        imagery.decode_chunk(rasters.geotiff(z.astype(np.uint8), 14.5, 46.0, step), chunk)
 
 
 def test_elevation_build(spark, tmp_path):
@@ -151,6 +243,31 @@ def test_elevation_build(spark, tmp_path):
     with pytest.raises(Exception, match="other_options"):
         elevation.build(spark, ElevationConfig(tiles=("N45E014",), arcsec=180.0, interpolation="cubic"), str(tmp_path / "out"), load)
     assert elevation.piece_folder(config) == "180arcsec_SPLIT_4x4"
+    assert out["split_totals"].first()[:] == ("N45E014", 16, 400, 0, 0) and out["pieces"].count() == 16 and out["seams"].count() == 24
+    # a damaged piece is found, and so is a missing one
+    piece = tmp_path / "out" / elevation.piece_folder(config) / "N45E014_q0102.bil"
+    data = bytearray(piece.read_bytes())
+    data[7] ^= 1
+    piece.write_bytes(data)
+    again = ElevationConfig(tiles=("N45E014",), arcsec=180.0, chunk_cols=3, chunk_rows=3, split_grid=4, stage="split-qa")
+    with pytest.raises(qa.GateError, match="mismatches: 1"):
+        elevation.run(spark, again, str(tmp_path / "out"))
+    piece.unlink()
+    with pytest.raises(OSError):
+        elevation.run(spark, again, str(tmp_path / "out"))
+
+
+def test_compare_of_two_tiles(spark):
+    """Each tile meets its own reference, or its own place of one for all."""
+    config = ElevationConfig(tiles=("N45E014", "N45E015"), arcsec=180.0, compare_samples=64)
+    z = spark.createDataFrame([(t, r, c, float(k * 100 + r * 10 + c)) for k, t in enumerate(config.tiles) for r in range(20) for c in range(20)], "tile string, r int, c int, z double")
+    own = elevation.compare(spark, z, z.withColumn("z", F.col("z") + F.when(F.col("tile") == "N45E015", 2.0).otherwise(0.0)), config).collect()
+    assert {x.tile: round(x.bias_m, 9) for x in own} == {"N45E014": 0.0, "N45E015": -2.0}
+    one = spark.createDataFrame([(r, c, float(c // 20 * 100 + r * 10 + c % 20)) for r in range(20) for c in range(40)], "r int, c int, z double")
+    both = elevation.compare(spark, z, one, config, gt=(14.0, 0.05, 46.0, 0.05)).collect()
+    assert {x.tile: round(x.max_abs_m, 6) for x in both} == {"N45E014": 0.0, "N45E015": 0.0} and all(x.samples > 100 for x in both)
+    with pytest.raises(ValueError):
+        elevation.compare(spark, z, one, config)
 
 
 def square(x, y, w, h):
@@ -175,13 +292,98 @@ def test_landcover_build(spark, tmp_path):
     assert cls["N45E014", 0, 5] == 3 and cls["N45E014", 7, 3] == 0 and cls["N45E014", 9, 6] == 5 and cls["N45E014", 9, 1] == 14
     row = {x.tile: x for x in got.counters.collect()}
     assert row["N45E014"].mask_cells == 110 and row["N46E014"].mask_cells == 0 and row["N46E014"].mean_dominant_pct == 0.0
-    dense = blocks.to_cells(landcover.natural_classes(layers, legacy.select("tile").distinct(), config, dense=True))
-    sparse = {(x.tile, x.r, x.c): x.natural for x in got.cells.collect()}
-    assert all(sparse[x.tile, x.r, x.c] == x.cls for x in dense.collect())
+    # blocks, of any size, and rows of sub-samples tell the same
+    tiles = legacy.select("tile").distinct()
+    sparse = sorted(landcover.natural_classes(layers, tiles, config, dense=False).collect())
+    assert sorted(landcover.natural_classes(layers, tiles, config).collect()) == sparse and len(sparse) > 50
+    homes = landcover.prepare_buildings(houses).unionByName(spark.createDataFrame([(9, 5.0, square(14.15, 45.13, 0.21, 0.31)), (10, 0.0, square(14.9, 45.9, 0.05, 0.05))], f"fid long, height double, rings {geometry.RINGS}"))
+    rows = {(x.tile, x.r, x.c): (x.density, x.height) for x in landcover.urban_measures(homes, tiles, config, dense=False).collect()}
+    for side in (32, 40):
+        got_blocks = {(x.tile, x.r, x.c): (x.density, x.height) for x in landcover.urban_measures(homes, tiles, dataclasses.replace(config, block_size=side)).collect()}
+        assert all(np.allclose(rows.get(k, (0, 0)), got_blocks.get(k, (0, 0)), atol=1e-9) for k in {*rows, *got_blocks}) and len(got_blocks) > 8
+    wrong = dataclasses.replace(got, cells=got.cells.withColumn("legacy", F.when(F.col("inside"), 13).otherwise(F.col("legacy"))))
+    with pytest.raises(qa.GateError, match="legacy_urban"):
+        landcover.check(wrong)
     files = rasters.write_raster_files(landcover.outputs(got, 11, 4), str(tmp_path / "lcv"), 11, 11).collect()
     assert {x.length for x in files} == {121}
 
 
+def test_masks(spark):
+    """A boundary, its fallback, and a raster on another grid, cell by cell."""
+    tiles = spark.createDataFrame([("N45E014",), ("N45E015",)], "tile string")
+    shape = lambda *b: spark.createDataFrame([(i, x) for i, x in enumerate(b)], f"fid long, rings {geometry.RINGS}")
+    one, two = square(14.25, 45.25, 1.0, 0.5), square(14.02, 45.03, 0.3, 0.3)
+    n = 10  # arcsec 360
+
+    def nodes(x0, y0, w, h):
+        out = set()
+        for tile, lon in (("N45E014", 14), ("N45E015", 15)):
+            for r, c in np.ndindex(n + 1, n + 1):
+                x, y = lon + c / n, 46 - r / n
+                if x0 <= x < x0 + w and y0 < y <= y0 + h:
+                    out.add((tile, r, c))
+        return out
+
+    got = lambda df: {(x.tile, x.r, x.c) for x in df.collect()}
+    assert got(landcover.boundary_mask(spark, shape(one), shape(two), tiles, 360.0)) == nodes(14.25, 45.25, 1.0, 0.5)
+    assert got(landcover.boundary_mask(spark, None, shape(two), tiles, 360.0)) == got(landcover.boundary_mask(spark, shape(one).limit(0), shape(two), tiles, 360.0)) == nodes(14.02, 45.03, 0.3, 0.3)
+    with pytest.raises(ValueError):
+        landcover.boundary_mask(spark, shape(one, two), shape(two), tiles, 360.0)
+    values = {(0, 0): 1.0, (0, 3): 2.0, (1, 1): 0.0, (1, 2): 5.0, (2, 4): None}
+    raster = spark.createDataFrame([(r, c, v) for (r, c), v in values.items()], "r int, c int, value double")
+    want = set()
+    for (r, c), v in values.items():
+        if v:
+            want |= nodes(13.83 + c * 0.37, 45.95 - (r + 1) * 0.21, 0.37, 0.21)
+    assert got(landcover.warped_mask(raster, (13.83, 0.37, 45.95, 0.21), tiles, 360.0)) == want and len(want) > 10
+
+
+def test_prepared_layers_are_kept(spark, tmp_path):
+    config = LandCoverConfig(tiles=("N45E014",))
+    land = spark.createDataFrame([(1, 1500, square(14.0, 45.0, 0.5, 0.5)), (2, 1, square(14.0, 45.0, 0.5, 0.5))], f"fid long, raba_id int, rings {geometry.RINGS}")
+    first = landcover.prepared(spark, {"land_use": land}, config, str(tmp_path))
+    assert [x.fid for x in first["land_use"].collect()] == [1]
+    again = landcover.prepared(spark, {"land_use": land.limit(0)}, config, str(tmp_path))
+    assert again["land_use"].count() == 1
+    assert landcover.prepared(spark, {"land_use": land.limit(0)}, config, str(tmp_path), rebuild=True)["land_use"].count() == 0
+    assert landcover.prepared(spark, {"land_use": land.limit(0)}, dataclasses.replace(config, p70=300.0), str(tmp_path))["land_use"].count() == 0
+    metres = geometry.reprojected(F.lit(14.5), F.lit(45.5), 15.0)
+    far = spark.range(1).select(F.lit(1).cast("long").alias("fid"), F.lit(1500).alias("raba_id"), F.array(F.struct(F.lit(0).alias("ring"), F.array(metres).alias("pts"))).alias("rings"))
+    point = landcover.prepared(spark, {"land_use": far}, config, str(tmp_path), lon0=15.0)["land_use"].first().rings[0].pts[0]
+    assert abs(point.x - 14.5) < 1e-7 and abs(point.y - 45.5) < 1e-7
+
+
+def test_feature_service(spark):
+    """Pages of all regions, a page that fails once, an empty region that the gate finds."""
+
+    def ask(query):
+        region, at, n = query["where"][5:7], query["resultOffset"], query["resultRecordCount"]
+        total = {"01": 7, "02": 6, "03": 0}[region]
+        if region == "02" and at == 3 and not flag:
+            flag.append(1)
+            raise OSError("try again")
+        rows = [{"properties": {"sklep": i % 3, "x": None}, "geometry": {"type": "Point", "coordinates": [i, 0]}} for i in range(at, min(at + n, total))]
+        return json.dumps({"features": rows}).encode()
+
+    flag = []
+    rows, parts = vectors.read_service(spark, ask, {"sklep": "int", "x": "string"}, ("01", "02"), page=3, wait=lambda _: None)
+    got = rows.cache().collect()
+    assert sorted((x.region, x.fid, x.sklep, x.x) for x in got) == sorted([("01", i, i % 3, None) for i in range(7)] + [("02", i, i % 3, None) for i in range(6)])
+    qa.gate_parts(parts, rows)
+    _, parts = vectors.read_service(spark, ask, {"sklep": "int"}, ("01", "03"), page=3, wait=lambda _: None)
+    with pytest.raises(qa.GateError, match="1 empty"):
+        qa.gate_parts(parts, rows)
+
+
+def test_mosaics_and_sidecars(tmp_path):
+    assert rasters.write_mosaic(str(tmp_path / "m.vrt"), {}) is None
+    with pytest.raises(ValueError):
+        rasters.write_mosaic(str(tmp_path / "m.vrt"), {}, required=True)
+    for x in ("a.bil", "a.hdr", "a.bil.aux.xml", "b.bil"):
+        (tmp_path / x).write_text("x")
+    assert len(rasters.remove_sidecars(str(tmp_path / "a.bil"))) == 3 and [x.name for x in tmp_path.iterdir()] == ["b.bil"]
+
+
 def test_stream(spark, tmp_path):
     plan = spark.createDataFrame([("A", 0, 0), ("A", 0, 1)], "tile string, row int, col int")
     plan.write.parquet(str(tmp_path / "plans/1"))
