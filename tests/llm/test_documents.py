@@ -1,12 +1,15 @@
 """Toxicity, line dedup, mixing, fingerprints and secrets against brute force, planted cases and odd rows."""
 
 import hashlib
+import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import pyspark.sql.functions as F
+import numpy as np
 import pytest
 
 from tessella.llm import line_dedup as L
@@ -52,6 +55,31 @@ def test_toxicity(spark):
     assert len(model[0]) // 4 < 2000
 
 
+def test_fit_is_plain_ftrl():
+    """Weights and bias of the vectorised fit against the update rule written out a coordinate at a time."""
+    rng = random.Random(8)
+    rows = [(sorted(rng.sample(range(64), rng.randint(0, 9))), int(rng.random() < 0.4)) for _ in range(120)]
+    alpha, beta, l1, l2 = 0.3, 1.0, 0.7, 0.1
+    z, n = [0.0] * 65, [0.0] * 65  # the last one is the bias, without penalties
+
+    def weight(i):
+        if i == 64:
+            return -z[i] / ((beta + n[i] ** 0.5) / alpha)
+        return 0.0 if abs(z[i]) <= l1 else -(z[i] - math.copysign(l1, z[i])) / ((beta + n[i] ** 0.5) / alpha + l2)
+
+    for _ in range(2):
+        for at, y in rows:
+            w = {i: weight(i) for i in [*at, 64]}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - y
+            for i, x in w.items():
+                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / alpha * x
+                n[i] += g * g
+    at, got, bias = toxicity.fit([(np.array(a, np.int32), y) for a, y in rows], 6, alpha, beta, l1, l2, 2)
+    want = {i: weight(i) for i in range(64) if abs(z[i]) > l1}
+    assert at.tolist() == sorted(want) and 0 < len(want) < 64
+    assert np.allclose(got, [want[i] for i in at.tolist()], rtol=1e-5) and abs(bias - weight(64)) < 1e-9
+
+
 def test_toxicity_without_labels(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
@@ -96,6 +124,12 @@ def test_line_dedup_by_shuffle(spark, monkeypatch):
     assert sorted(L.line_dedup(df).collect()) == want and want[0].text == ""
 
 
+def test_hosts(spark):
+    urls = ["https://User:pw@WWW.Example.org:81/a?b=http://c.d", "http://a.b", "ftp://h/x@y", "http://[::1]:80/", "//no.scheme/x", "", None, "mailto:x@y.z"]
+    df = spark.createDataFrame(list(enumerate(urls)), "i int, url string").select("i", L.host_of(F.col("url")).alias("host"))
+    assert [x.host for x in df.orderBy("i").collect()] == ["www.example.org", "a.b", "h", "[::1]", None, None, None, None]
+
+
 def goals(sizes, weights=(3, 1, 2), share=1.5):
     names = sorted((s for s in sizes if s is not None), key=lambda x: x.encode()) + [None] * (None in sizes)
     w = {s: weights[i % 3] for i, s in enumerate(names)}
@@ -128,6 +162,16 @@ def test_mixing(spark, n, salt, monkeypatch):
         assert x.size == words[x.doc_id] and x.source_size == sizes[x.source] and abs(x.target - want[x.source]) < 1e-6
         assert 0 <= x.taken <= 2 * x.size and x.copies in (0, 1, 2)
         taken[x.source] += x.taken
+    # rates are the balancing ones: exp(lambda t / t_max), 2 at most, of one lambda a source, that meet the target
+    for s, t in want.items():
+        mine = [size(text) for _, source, text, _ in rows if source == s]
+        if sizes[s] and t < 2 * sizes[s]:
+            low, high = -1e6, 1e6
+            rate = lambda x, lam: min(2.0, math.exp(min(lam * x / max(mine), 1.0)))  # noqa: B023, E731
+            for _ in range(200):
+                middle = (low + high) / 2
+                low, high = (middle, high) if sum(x * rate(x, middle) for x in mine) < t else (low, middle)
+            assert all(abs(x.rate - rate(x.size, low)) < 1e-5 for x in got if x.source == s)
     for s, t in want.items():
         largest = max(size(text) for _, source, text, _ in rows if source == s)
         assert abs(taken[s] - t) <= max(1, 0 if n > 100 else largest), (s, taken[s], t)
@@ -140,6 +184,29 @@ def test_mixing(spark, n, salt, monkeypatch):
     assert out == +copies and mixing.mixed(df).columns == df.columns
 
 
+def test_mixing_with_another_limit(spark):
+    """``most`` holds beyond e: a target of nearly three times its source's size is met."""
+    df = spark.createDataFrame([(i, "a" if i % 3 else "b", "w " * (1 + i % 7)) for i in range(600)], "doc_id long, source string, text string")
+    got = mixing.mix(df, weights=(1, 2), share=1.7, most=3).collect()
+    for s in "ab":
+        mine = [x for x in got if x.source == s]
+        assert abs(sum(x.taken for x in mine) - mine[0].target) <= 1 and all(x.taken <= 3 * x.size for x in mine)
+    assert max(x.target / x.source_size for x in got) > 2.8
+    with pytest.raises(RuntimeError):
+        mixing.tilts(mixing.sized(df), mixing.targets(mixing.sized(df)), steps=1)
+
+
+def test_mixing_repeated_rows(spark):
+    """Equal rows share their copies evenly, and every copy is there."""
+    rows = [(7, "a", "x y z", k) for k in range(5)] + [(None, "a", "x y z", 9)] * 3 + [(100 + i, "b", "u v", 0) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, k int")
+    want = Counter()
+    for x in mixing.mix(df).collect():
+        want[x.doc_id] += x.copies
+    out = mixing.mixed(df).collect()
+    assert Counter(x.doc_id for x in out) == +want and max(Counter((x.doc_id, x.k) for x in out if x.doc_id == 7).values()) <= 2
+
+
 def test_mixing_nothing(spark):
     df = spark.createDataFrame([], "doc_id long, source string, text string")
     assert mixing.mix(df).collect() == [] and mixing.mixed(df).collect() == []
@@ -153,15 +220,10 @@ def spots(text):
     out = set()
     for i, w in enumerate(words):
         if w in anchors:
-            chain, gap = [], 0
+            chain = []
             for x in words[i + 1 :]:
-                if x in anchors:
-                    gap += 1
-                    if gap > spotsigs.GAP:
-                        break
-                else:
+                if x not in anchors:
                     chain.append(x)
-                    gap = 0
                     if len(chain) == spotsigs.CHAIN:
                         out.add(" ".join([w, *chain]))
                         break
@@ -194,6 +256,35 @@ def test_fingerprints(spark, ranges, monkeypatch):
     assert len(empty) == 1
 
 
+@pytest.mark.parametrize("least", [0.8, 0.5])
+def test_similar_is_all_pairs(spark, least):
+    """The partitioned, pruned join against every pair of distinct signature sets."""
+    rng = random.Random(3)
+    texts = []
+    for _ in range(14):
+        base = prose(rng, rng.choice([6, 40, 150])).split()
+        for _ in range(rng.randint(1, 7)):
+            x = list(base)
+            for _ in range(rng.randint(0, 1 + len(x) // 60)):
+                x[rng.randrange(len(x))] = rng.choice(WORDS)
+            texts.append(" ".join(x + rng.choice(WORDS[:3]).split() * rng.randint(0, 1)))
+    rows = [(i, t, 0) for i, t in enumerate([*texts, texts[0], None, "", "the " * 4000, texts[3]], 5)] + [(None, texts[1], 0), (5, texts[0], 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, Rep int").toDF("doc_id", "text", "Text").repartition(4)
+    table = spotsigs.members(df)
+    got = table.collect()
+    sets = {i: spots(t) for i, t, _ in rows if i is not None}
+    first = {}
+    for i in sorted(sets):
+        first.setdefault(frozenset(sets[i]), i)
+    assert sorted((x.doc_id, x.rep) for x in got) == sorted((i, first[frozenset(sets[i])]) for i, _, _ in rows if i is not None)
+    reps = sorted(first.values())
+    want = {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for k, i in enumerate(reps) for j in reps[:k]}
+    want = {tuple(sorted(p, key=lambda i: (len(sets[i]), i))): x for p, x in want.items() if x >= least}
+    found = {(x.a, x.b): x.likeness for x in spotsigs.similar(table, least).collect()}
+    assert found.keys() == want.keys() and len(want) > 20 and all(abs(found[k] - want[k]) < 1e-9 for k in want)
+    assert spotsigs.similar(spotsigs.members(df.limit(0))).collect() == []
+
+
 def test_spots_across_many_anchors(spark):
     """Runs of anchors of any length before either content word keep all their spots."""
     texts = ["the of and to in is was for cat on that with as by at from dog end", "the " * 7 + "cat dog", "the cat " + "of " * 40 + "dog", "and " + "the " * 50_000 + "cat " + "of " * 50_000 + "dog"]
@@ -241,6 +332,55 @@ def test_secrets():
     assert 'x = "Zq8!kLw0pT9s"'[a:b] == "Zq8!kLw0pT9s"
 
 
+LEXED = [
+    ('PASSWORD = "hunter2x" + "Zq81Kx9"', ['hunter2x" + "Zq81Kx9']),
+    ('PASSWORD = ("Kx92j"\n   "fPq8z")', ['Kx92j"\n   "fPq8z']),
+    ("password:\n  s3cr3tVal9x", ["s3cr3tVal9x"]),
+    ("private_key: |\n  Kx92jfPq8zAa\nother: 1", ["Kx92jfPq8zAa"]),
+    ('signing_key = """abX9kqq81Lz"""', ["abX9kqq81Lz"]),
+    ("<signing_key> abX9kqq81LzP\n</signing_key>", ["abX9kqq81LzP"]),
+    ('<add key="SigningKey" value="Kx92jfPq8zAa"/>', ["Kx92jfPq8zAa"]),
+    ('SECRET_KEY = os.getenv("SK", "d3f4ultV4lue")', ["d3f4ultV4lue"]),
+    ('signing = conf["a"] || "x"; cfg.signingKey = env.K || "Kx92jfPq8zAa"', ["Kx92jfPq8zAa"]),
+    ('pw = "Xk29fjq8Zz"\npassword = f"{pw}"', ["Xk29fjq8Zz"]),
+    ('password = f"Xk29fjq8Zz{n}"', ["Xk29fjq8Zz"]),
+    ('# x = "Abc9Kq2ZzP"\npassword = x', []),
+    ('/* x = "Abc9Kq2ZzP" */ password = x // y = "Abc9Kq2ZzP"', []),
+    ('# password = "Abc9Kq2ZzP"', []),
+    ('url = "http://x.y/z"; signing_key="Kx92jfPq8zAa"', ["Kx92jfPq8zAa"]),
+    ("db:\n  hosts: 3\n  password: Zq81Kx9pLm", ["Zq81Kx9pLm"]),
+    ("secrets:\n  stripe: sk9live8Kx2z\nport: sk9live8Kx2y", ["sk9live8Kx2z"]),
+    ('{"secrets": {"stripe": "sk9live8Kx2z"}, "port": "sk9live8Kx2y"}', ["sk9live8Kx2z"]),
+    ("- name: DB_PASSWORD\n  value: Kx92jfPq8z", ["Kx92jfPq8z"]),
+    ('api_token: str = "Kx92jfPq8z"', ["Kx92jfPq8z"]),
+    ("it's password = Kx92jfPq8z=", ["Kx92jfPq8z="]),
+    ('a = "Kx92jfPq8z"\nb = a\na = "other4Qzz9"\nauth_token = b', ["Kx92jfPq8z"]),
+    ('secret = "unclosed', []),
+    ("éclair password: Zq81Kx9pLm", ["Zq81Kx9pLm"]),
+]
+
+
+@pytest.mark.parametrize("text, want", LEXED)
+def test_lexer(text, want):
+    assert [text[a:b] for a, b, _, score in secret_scan.lex(text) if score >= secret_scan.LEAST_SCORE] == want
+
+
+def test_constants_reach_the_best_of_many_names():
+    text = 'x = "Kx92jfPq8zAa"\n' + "".join(f"y{i} = x\n" for i in range(50)) + "db_password = y49\n" + 'x = x + "more"\n' * 2000
+    assert secret_scan.lex(text)[0][2] == "db_password"
+
+
+@pytest.mark.parametrize("text", ["a" * 10**6 + " = x password", "=" * 200_000 + "token", '\\"' * 150_000 + "key", "'" * 200_000 + "key", "key" + "k: {" * 60_000, "key" + "a = f(" * 50_000, "key = '" + "\\" * 10**5, "key" + "a:\n " * 50_000, "/*" * 100_000 + "key:"])
+def test_lexing_takes_time_in_proportion(text):
+    """Long words and open quotes, brackets and comments: a few microseconds a character, twice the text twice the time."""
+    began = time.process_time()
+    secret_scan.scan(text)
+    one = time.process_time() - began
+    began = time.process_time()
+    secret_scan.scan(text + text)
+    assert time.process_time() - began < 3.5 * one + 0.5 and one < 30e-6 * len(text) + 0.5
+
+
 def test_secret_table(spark):
     plain = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     rng = random.Random(3)
