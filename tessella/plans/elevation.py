@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import dims
 from ..config import ElevationConfig, fingerprint, split_name
 from ..functions import scalar as S
 from ..functions import tiles as T
@@ -77,6 +79,20 @@ def compare(spark: SparkSession, z: DataFrame, reference: DataFrame | None, conf
     return qa.difference_statistics(new.join(old, ["tile", "r", "c"]).withColumn("d", F.col("z") - F.col("old")), "d", ["tile"])
 
 
+def check_tiles(spark: SparkSession, config: ElevationConfig, folder: str) -> None:
+    """The stored tiles have the plan's size, type, no-data value and place."""
+    n, rows = config.pixels, []
+    for t in planning.first_seen(list(config.tiles)):
+        path = f"{tile_folder(config, folder)}/{t}.bil"
+        with open(path.removesuffix(".bil") + ".hdr") as f:
+            h = rasters.parse_bil_header(f.read())
+        lat, lon = T.corner_of(t)
+        rows.append((t, path, os.path.getsize(path), list(map(float, rasters.header_bounds(path).values())), [float(x) for x in (lon, lat, lon + 1, lat + 1)], h["NCOLS"], h["NROWS"], f"{h['PIXELTYPE']}{h['NBITS']}", float(h["NODATA"])))
+    found = spark.createDataFrame(rows, "tile string, path string, length long, gt array<double>, want array<double>, width int, height int, dtype string, nodata double").withColumn("srid", F.lit(4326))
+    qa.gate_file_size(found, 2 * n * n)
+    qa.gate_geotransform(found, 2e-11, n, "SIGNEDINT16", float(dims.ELEVATION_NODATA))
+
+
 def pieces_of(spark: SparkSession, config: ElevationConfig) -> DataFrame:
     tiles = spark.createDataFrame([(t,) for t in planning.first_seen(list(config.tiles))], "tile string")
     return planning.split_plan(tiles, config.pixels, config.split_grid)
@@ -111,7 +127,7 @@ def check_pieces(spark: SparkSession, config: ElevationConfig, folder: str) -> t
     planned = spark.createDataFrame(plan).select("tile", "row", "col", *[F.col(k).alias(f"want_{k}") for k in ("west", "south", "east", "north")])
     both = found.join(planned, ["tile", "row", "col"])
     gt = both.select(F.array("west", "south", "east", "north").alias("gt"), F.array("want_west", "want_south", "want_east", "want_north").alias("want"), F.lit(4326).alias("srid"))
-    qa.gate_geotransform(gt, 1e-9)
+    qa.gate_geotransform(gt, 1e-11)
     qa.gate_seams(found, 1e-9)
     totals = counts.groupBy("tile").agg(F.count(F.lit(1)).alias("pieces"), F.sum("compared").alias("compared"), F.sum("mismatches").alias("mismatches"), F.max("max_abs").alias("max_abs"))
     return counts, qa.seams(found), totals
@@ -128,14 +144,11 @@ def run(spark: SparkSession, config: ElevationConfig, folder: str, load: Callabl
         out["tiles"] = write_tiles(build(spark, config, folder, load), config, folder)
     names = planning.first_seen(list(config.tiles))
     out["cells"] = z = stored(spark, tile_folder(config, folder), names)
+    if config.stage != "build":
+        check_tiles(spark, config, folder)
     if config.stage in ("qa", "all"):
         manifest = ingest.manifest(spark, f"{folder}/manifest").join(spark.createDataFrame([(t,) for t in names], "tile string"), "tile", "left_semi")
         qa.gate_storage(manifest, z.select("tile").distinct())
-        bounds = [(t, *rasters.header_bounds(f"{tile_folder(config, folder)}/{t}.bil").values()) for t in names]
-        found = spark.createDataFrame(bounds, "tile string, west double, south double, east double, north double")
-        corner = T.tile_corner(F.col("tile"))
-        want = F.array(*[x.cast("double") for x in (corner["lon"], corner["lat"], corner["lon"] + 1, corner["lat"] + 1)])
-        qa.gate_geotransform(found.select(F.array("west", "south", "east", "north").alias("gt"), want.alias("want"), F.lit(4326).alias("srid")), 1e-9)
     if config.stage in ("compare", "all"):
         out["comparison"] = compare(spark, z, reference, config, gt=gt)
     if config.stage in ("split", "all"):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import glob
 import io
 import json
 import os
@@ -14,8 +15,33 @@ from pyspark.sql import functions as F
 from .. import dims
 from ..functions.scalar import rf_number
 
-# Area shares in % of forest classes 1 to 5 in an earlier national run.
-FOREST_PRIOR = {1: 2.73, 2: 10.35, 3: 16.03, 4: 36.81, 5: 34.07}
+# The classes' names.
+CLASS_NAMES = {
+    0: "Water",
+    1: "F1 Young closed / low dense forest",
+    2: "F2 Low-medium open forest",
+    3: "F3 Medium closed forest",
+    4: "F4 Tall open / regeneration mosaic forest",
+    5: "F5 Tall dense / multilayer forest",
+    6: "Open woody succession / young woodland",
+    7: "Sparse taller tree cover / orchards",
+    8: "Dense shrubland / dwarf pine / reedbed",
+    9: "Structured perennial crops",
+    10: "Grassland / low open vegetation",
+    11: "Arable land / field crops",
+    12: "Bare Ground",
+    13: "Urban and Built-up LO",
+    14: "Urban and Built-up HI",
+}
+# Stands, area in ha, area share in % and mean stock per ha of forest classes 1 to 5 in an earlier national run; None is not known.
+FOREST_PRIOR = {
+    1: (25345, 32195.13, 2.7343508180, 8.63711375),
+    2: (43912, 121858.70, 10.3495291377, 121.33334756),
+    3: (80695, 188773.73, 16.0326609349, 245.07961992),
+    4: (None, 433463.13, 36.8142717266, None),
+    5: (95238, 401141.62, 34.0691873828, 418.99693181),
+}
+STALE = "RF_CALIBRATION_PENDING_*.txt"
 
 
 def _write(path: str, text: str, encoding: str = "utf-8") -> None:
@@ -53,7 +79,12 @@ def write_rf_profile(spark: SparkSession, path: str) -> None:
     _write(path, "".join(f"{r.line}\n" for r in rf_lines(spark).collect()))  # 15 rows
 
 
-def write_documentation(spark: SparkSession, folder: str, config: dict) -> None:
-    write_report([{"class": f"{c:02d}", "height_m": h, "density_pct": d} for c, (h, d) in dims.RF_PROFILE.items()], f"{folder}/class_definitions.csv")
-    write_report([{"class": f"{c:02d}", "area_pct": v} for c, v in FOREST_PRIOR.items()], f"{folder}/forest_prior.csv")
+def write_documentation(spark: SparkSession, folder: str, config: dict, thresholds: dict[int, float] = dims.CLASS_THRESHOLDS) -> None:
+    """The classes with their names, RF values and least shares, the forest prior and the options of a build; stale notes of earlier ones go."""
+    share = lambda c: {"min_area_fraction": thresholds.get(c), "min_area_pct": None if c not in thresholds else 100.0 * thresholds[c]}
+    rows = [{"class": f"{c:02d}", "name": CLASS_NAMES[c], "height_m": h, "density_pct": d} | share(c) for c, (h, d) in dims.RF_PROFILE.items()]
+    write_report(rows, f"{folder}/class_definitions.csv")
+    write_report([{"class": c, "stands": n, "area_ha": a, "area_pct": p, "lzha_mean": m} for c, (n, a, p, m) in FOREST_PRIOR.items()], f"{folder}/forest_prior.csv")
+    for x in glob.glob(f"{glob.escape(folder)}/{STALE}"):
+        os.remove(x)
     _write(f"{folder}/metadata.json", json.dumps(config, indent=1, sort_keys=True, default=str))

@@ -113,3 +113,9 @@ def test_config():
             ElevationConfig(**bad)
     assert fingerprint(LandCoverConfig()) != fingerprint(LandCoverConfig(p70=400.0))
     assert LandCoverConfig().thresholds == dims.CLASS_THRESHOLDS
+
+
+def test_block_geotransform(spark):
+    gt = F.struct(F.lit(13.5).alias("x0"), F.lit(0.25).alias("dx"), F.lit(46.5).alias("y0"), F.lit(-0.25).alias("dy"))
+    got = spark.range(1).select(T.block_geotransform(gt, F.lit(4), F.lit(2), 5).alias("g")).first().g
+    assert tuple(got) == (14.0, 0.05, 45.5, -0.05)

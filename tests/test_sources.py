@@ -100,8 +100,13 @@ def test_reports(spark, tmp_path):
     tables.write_rf_profile(spark, str(tmp_path / "rf.dat"))
     lines = (tmp_path / "rf.dat").read_text().splitlines()
     assert len(lines) == 15 and lines[5] == "30,140"
+    (tmp_path / "doc").mkdir()
+    (tmp_path / "doc/RF_CALIBRATION_PENDING_1.txt").write_text("old")
     tables.write_documentation(spark, str(tmp_path / "doc"), {"x": 1})
     assert len(list((tmp_path / "doc").iterdir())) == 3
+    rows = (tmp_path / "doc/class_definitions.csv").read_text("utf-8-sig").splitlines()
+    assert rows[0] == "class;name;height_m;density_pct;min_area_fraction;min_area_pct" and rows[1] == "00;Water;0;0;0.75;75.0" and rows[15] == "14;Urban and Built-up HI;20;175;;"
+    assert (tmp_path / "doc/forest_prior.csv").read_text("utf-8-sig").splitlines()[4] == "4;;433463.13;36.8142717266;"
 
 
 class Answer:
