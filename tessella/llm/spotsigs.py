@@ -1,8 +1,8 @@
 """SpotSigs: chains of content words that follow common-word anchors form a document's signature set.
 
 A spot is an anchor and the next ``CHAIN`` content words, whatever anchors stand between them. The fingerprint is the set of spots as
-sorted 32-bit hashes in hex. Sets are partitioned by their length, in steps of the least similarity, so that likes lie in the same or
-neighbouring partitions; their likeness is Jaccard's.
+sorted 32-bit hashes in hex; the likeness of two sets is Jaccard's. ``similar`` finds all pairs of like sets in a corpus: sets are partitioned by their length, in steps
+of the least similarity, so that likes lie in the same or neighbouring partitions, and compared by pruned Jaccard.
 
 ``neighbours`` finds each document's next one, in descending doc_id order, without sorting the corpus in one task: rows are dealt into
 ranges between quantiles of doc_id that occur, and the row on a border goes to both sides.
@@ -19,9 +19,9 @@ import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 
 from .batches import renamed
+from .store import written
 
 CHAIN = 2
-GAP = math.inf  # anchors that may stand before each content word: any number
 LEAST = 0.8
 # Anchors, common words of English, French, Spanish and German.
 ANCHORS = (
@@ -32,25 +32,38 @@ ANCHORS = (
 ).split()
 
 
+def alternatives(words: tuple[str, ...]) -> str:
+    """A regular expression of words with their common beginnings shared."""
+    by: dict[str, list[str]] = {}
+    for x in sorted(set(words)):
+        by.setdefault(x[:1], []).append(x[1:])
+    end = "" in by
+    parts = [k + alternatives(tuple(v)) for k, v in by.items() if k]
+    return parts[0] if len(parts) == 1 and not end else f"(?:{'|'.join(parts)}){'?+' if end else ''}" if parts else ""
+
+
 def spots(text: Column, chain: int = CHAIN) -> Column:
-    """The sorted signature set of a text, as array<int>."""
+    """The sorted signature set of a text, as array<int>.
+
+    Anchors get a mark; then every run of anchors with ``chain`` content words behind it becomes a line of its anchors and these words. All repetitions
+    in the expressions are possessive, and a line begins where the last one ended: no recursion, and time in proportion to the text.
+    """
     words = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
-    tagged = F.array_join(F.transform(F.split(words, " "), lambda x: F.when(x.isin(*ANCHORS), F.concat(F.lit("¶"), x)).otherwise(x)), " ")
-    content = F.filter(F.split(tagged, " "), lambda x: ~x.startswith("¶"))
-    # what stands before each content word, and after the last: its anchors, each behind " ¶"
-    runs = F.split(F.concat(F.lit(" "), tagged, F.lit(" ")), " (?=[^ ¶])[^ ]+")
+    tagged = F.regexp_replace(F.concat(F.lit(" "), words, F.lit(" ")), f"(?<= ){alternatives(tuple(ANCHORS))}(?= )", "¶$0")
+    then = r"([^ ]+) " + r"(?:¶[^ ]+ )*+([^ ]+) " * (chain - 1)
+    lines = F.regexp_replace(F.ltrim(tagged), rf"\G(?:[^ ¶][^ ]*+ )*+((?:¶[^ ]++ )++)(?={then})", "$1|" + " ".join(f"${k + 2}" for k in range(chain)) + "\n")
+    runs = F.filter(F.split(lines, "\n"), lambda x: x.contains("|"))
 
-    def signed(x: Column) -> Column:
-        def run(anchors: Column, k: Column) -> Column:
-            chain_words = [F.get(x["content"], k + j) for j in range(chain)]
-            return F.transform(F.array_distinct(F.filter(F.split(F.trim(anchors), " ?¶"), lambda y: y != "")), lambda y: F.hash(F.concat_ws(" ", y, *chain_words)))
+    def run(x: Column) -> Column:
+        behind = F.substring_index(x, "|", -1)
+        return F.transform(F.split(F.substring_index(x, " |", 1), " "), lambda y: F.hash(F.concat_ws(" ", F.ltrim(y, F.lit("¶")), behind)))
 
-        found = F.flatten(F.transform(F.slice(x["runs"], F.lit(1), F.greatest(F.size(x["content"]) - (chain - 1), F.lit(0))), run))
-        return F.when(F.size(found) > 0, found).otherwise(F.array(F.hash(x["words"])))
+    def signed(x: Column) -> Column:
+        return F.when(F.size(x) > 0, x).otherwise(F.array(F.hash(words)))
 
-    # arrays of one, so that words are parted once and what is found is found once
-    parted = F.element_at(F.transform(F.array(F.struct(words.alias("words"), content.alias("content"), runs.alias("runs"))), signed), 1)
-    return F.element_at(F.transform(F.array(parted), lambda x: F.array_sort(F.array_distinct(x))), 1)
+    # arrays of one, so that what is found is found once
+    found = F.array_sort(F.array_distinct(F.flatten(F.transform(runs, run))))
+    return F.element_at(F.transform(F.array(found), signed), 1)
 
 
 def fingerprint(sigs: Column) -> Column:
@@ -65,7 +78,43 @@ def likeness(a: Column, b: Column) -> Column:
 
 def length_partition(sigs: Column, least: float = LEAST) -> Column:
     """Sets at least ``least`` alike differ by one partition at most."""
-    return F.floor(F.log(F.size(sigs).cast("double")) / F.lit(-math.log(least))).cast("int")
+    return F.floor(F.log(F.size(sigs).cast("double")) / F.lit(-math.log(least)) + 1e-9).cast("int")
+
+
+def members(docs: DataFrame) -> DataFrame:
+    """A written table ``doc_id, rep, sigs``: each document's signature set, and the least doc_id that has an equal one; rows without doc_id are left out."""
+    own = renamed(docs, "doc_id", "text").where("doc_id is not null").select("doc_id", spots(F.col("text")).alias("sigs"))
+    keys = [F.xxhash64("sigs").alias("k1"), F.hash("sigs").alias("k2")]
+    table = written(own.select("*", *keys), "spot-sets")
+    reps = table.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
+    return written(table.join(written(reps, "spot-classes"), ["k1", "k2"]).select("doc_id", "rep", "sigs"), "spot-members")
+
+
+def similar(table: DataFrame, least: float = LEAST) -> DataFrame:
+    """``a, b, likeness`` of all pairs of representatives in a table of ``members`` that are at least ``least`` alike, ``a`` the one with the smaller set.
+
+    Sets meet within a partition of length and between neighbouring ones, over spots that a pair must share: of each set, its rarest first, as many as
+    it may lack and one more. Lengths and what remains behind a shared spot rule out most pairs before their sets are compared. Adaptive
+    execution splits a spot that many sets have.
+    """
+    sets = table.where("doc_id = rep").dropDuplicates(["rep"]).select("rep", "sigs", F.size("sigs").alias("n"), length_partition(F.col("sigs"), least).alias("part"))
+    sets = written(sets, "spot-reps")
+    each = sets.select("rep", "n", "part", F.explode("sigs").alias("spot"))
+    often = written(each.groupBy("spot").agg(F.count(F.lit(1)).alias("often")).where("often > 1"), "spot-counts")
+    # spots of one set alone come first in its order, and meet nobody
+    own = Window.partitionBy("rep")
+    at = F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("often", "spot"))
+    index = each.join(often, "spot").select("rep", "n", "part", "spot", at.alias("at")).where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1)
+    index = written(index, "spot-index")
+    small = index.select("spot", F.explode(F.array("part", F.col("part") + 1)).alias("part"), F.col("rep").alias("a"), F.col("n").alias("na"), F.col("at").alias("ata"))
+    large = index.select("spot", "part", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("at").alias("atb"))
+    most = F.least("ata", "atb") + F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb"))
+    pairs = small.join(large, ["spot", "part"]).where((F.col("na") < F.col("nb")) | (F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
+    # what lies before and behind a shared spot bounds what the two have in common
+    pairs = pairs.where((F.col("na") >= F.col("nb") * least - 1e-9) & (most >= (F.col("na") + F.col("nb")) * (least / (1 + least)) - 1e-9))
+    found = pairs.select("a", "b").distinct()
+    found = found.join(sets.select(F.col("rep").alias("a"), F.col("sigs").alias("x")), "a").join(sets.select(F.col("rep").alias("b"), F.col("sigs").alias("y")), "b")
+    return found.select("a", "b", likeness(F.col("x"), F.col("y")).alias("likeness")).where(F.col("likeness") >= least - 1e-12)
 
 
 def ranges(column: Column, bounds: list[int]) -> Column:
