@@ -22,7 +22,7 @@ import pyspark.sql.functions as F
 import pyspark.sql.types as T
 from pyspark.sql import DataFrame, SparkSession
 
-from .batches import numbered, place, renamed, slices
+from .batches import freed, numbered, place, renamed, slices
 
 BITS = 20
 MAX_TRAIN = 12_000
@@ -86,8 +86,8 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> tup
     known = renamed(labels, "doc_id", "toxic").where("doc_id is not null and toxic is not null").where(rank % FOLDS != 0)
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("y")).withColumn("rank", rank).orderBy("rank", "doc_id").limit(max_train)
     rows = renamed(docs, "doc_id", "text").join(F.broadcast(known), "doc_id").select("rank", "doc_id", "y", "text")
-    seen = rows.mapInArrow(coordinates, "rank long, doc_id long, y int, at binary")
-    got = seen.repartition(1).sortWithinPartitions("rank", "doc_id", "at").mapInArrow(learn, "at binary, w binary, bias double").collect()
+    seen = rows.mapInArrow(freed(coordinates), "rank long, doc_id long, y int, at binary")
+    got = seen.repartition(1).sortWithinPartitions("rank", "doc_id", "at").mapInArrow(freed(learn), "at binary, w binary, bias double").collect()
     return (bytes(got[0].at), bytes(got[0].w), got[0].bias) if got else None
 
 
@@ -115,7 +115,7 @@ def score(docs: DataFrame, model: tuple[bytes, bytes, float] | None) -> DataFram
                     out.append(float(bias + dense[at].sum(dtype=np.float64)))
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array(1 / (1 + np.exp(-np.clip(np.array(out, float), -700, 700))) if got else np.zeros(len(out)))], [*kept, "score"])
 
-    return rows.mapInArrow(apply, schema).toDF(*docs.columns, "score")
+    return rows.mapInArrow(freed(apply), schema).toDF(*docs.columns, "score")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
