@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_LOCAL: list[str] = []
 MOST_ROUNDS = 1000
 LEGACY_URBAN = (13, 14)
 FILL_CLASSES = (1, 12)
@@ -31,21 +35,24 @@ def best_neighbour(todo: DataFrame, donors: DataFrame) -> DataFrame:
     return counts.groupBy("tile", "r", "c").agg(F.max_by("cls", F.struct(F.col("n"), -F.col("cls"))).alias("cls"))
 
 
-def _settled(df: DataFrame) -> DataFrame:
-    """A written table in the session's checkpoint folder, or a checkpoint; cuts the lineage so that lost executors do no harm."""
-    spark = df.sparkSession
+def _place(spark: SparkSession, name: str) -> str:
+    """A new folder's name where all executors can read: in the session's checkpoint folder, or, in local mode only, in a temporary one of this machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        path = f"{root.rstrip('/')}/tessella-fill-{uuid.uuid4().hex[:12]}"
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
-
+    if not root:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessella-"))
-    return df.checkpoint()
+        if not _LOCAL:
+            _LOCAL.append(tempfile.mkdtemp(prefix="tessella-"))
+            atexit.register(shutil.rmtree, _LOCAL[0], ignore_errors=True)
+        root = f"file://{_LOCAL[0]}"
+    return f"{root.rstrip('/')}/tessella-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _settled(df: DataFrame) -> DataFrame:
+    """A written table; cuts the lineage so that lost executors do no harm."""
+    path = _place(df.sparkSession, "fill")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def fill_legacy_urban(cells: DataFrame, most_rounds: int = MOST_ROUNDS) -> DataFrame:
@@ -60,25 +67,25 @@ def fill_legacy_urban(cells: DataFrame, most_rounds: int = MOST_ROUNDS) -> DataF
     donors = base.where(~target & F.col("cls").between(*FILL_CLASSES)).select("tile", "r", "c", "cls")
     # only donors that touch a target can ever count
     donors = _settled(donors.join(spread8(todo, []).distinct(), ["tile", "r", "c"], "left_semi"))
-    filled = []
+    new, rounds = _place(cells.sparkSession, "filled"), 0  # one table, to which every round adds
     for _ in range(most_rounds):
         if not todo.limit(1).count():
             break
         got = _settled(best_neighbour(todo, donors))
         if not got.limit(1).count():
-            filled.append(todo.withColumn("cls", F.lit(LAST_RESORT)))
+            todo.select("tile", F.col("r").cast("int").alias("r"), F.col("c").cast("int").alias("c"), F.lit(LAST_RESORT).alias("new")).write.mode("append").parquet(new)
+            rounds += 1
             break
         # A tile where a round fills nothing is through: its targets can't be reached any more.
         stuck = todo.join(got.select("tile").distinct(), "tile", "left_anti").withColumn("cls", F.lit(LAST_RESORT))
-        filled += [got, stuck]
+        got.unionByName(stuck).select("tile", F.col("r").cast("int").alias("r"), F.col("c").cast("int").alias("c"), F.col("cls").cast("int").alias("new")).write.mode("append").parquet(new)
+        rounds += 1
         todo = _settled(todo.join(got, ["tile", "r", "c"], "left_anti").join(got.select("tile").distinct(), "tile", "left_semi"))
         donors = got  # a target that is left has had no donor so far: only cells just filled can be its
     else:
         raise RuntimeError(f"the fill didn't end within {most_rounds} rounds")
-    if not filled:
+    if not rounds:
         return base
-    new = filled[0]
-    for x in filled[1:]:
-        new = new.unionByName(x)
-    joined = base.join(new.withColumnRenamed("cls", "new"), ["tile", "r", "c"], "left")
+    made = cells.sparkSession.read.schema("tile string, r int, c int, new int").parquet(new)
+    joined = base.join(made, ["tile", "r", "c"], "left")
     return joined.select("tile", "r", "c", F.coalesce("new", "cls").alias("cls"), "inside")

@@ -160,12 +160,19 @@ def outputs(result: LandCover, side: int, block: int = 512) -> DataFrame:
     return blocks.raster_rows(blocks.to_blocks(result.cells.select("tile", "r", "c", "cls"), side, side, block))
 
 
+# The fields that a source must have.
+REQUIRED = {"land_use": ["raba_id"], "stands": ["rfaza", "sklep", "povrsina", "lzsku"], "cover": ["vrsta_pok"], "hydro": ["simbol"]}
+
+
 def prepared(spark: SparkSession, sources: dict[str, DataFrame], config: LandCoverConfig, folder: str, rebuild: bool = False, lon0: float | None = None) -> dict[str, DataFrame]:
     """``prepare_layers`` as written tables under ``folder/<key>``; the key depends on the options and the layers' names, and a layer that is there is not made again unless ``rebuild``.
+    A source without its fields, or without rows, raises.
 
     With ``lon0``, the sources' coordinates are transverse Mercator metres around that meridian, and come out as longitude and latitude.
     """
-    out = {}
+    out: dict[str, DataFrame] = {}
+    for name, df in sources.items():
+        qa.gate_fields(df, REQUIRED.get(name, []))
     for name, df in prepare_layers(sources, config).items():
         path = f"{folder}/{fingerprint(config)}/{name}{'' if lon0 is None else f'-{lon0:g}'}"
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")

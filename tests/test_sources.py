@@ -348,10 +348,12 @@ def test_prepared_layers_are_kept(spark, tmp_path):
     land = spark.createDataFrame([(1, 1500, square(14.0, 45.0, 0.5, 0.5)), (2, 1, square(14.0, 45.0, 0.5, 0.5))], f"fid long, raba_id int, rings {geometry.RINGS}")
     first = landcover.prepared(spark, {"land_use": land}, config, str(tmp_path))
     assert [x.fid for x in first["land_use"].collect()] == [1]
-    again = landcover.prepared(spark, {"land_use": land.limit(0)}, config, str(tmp_path))
+    again = landcover.prepared(spark, {"land_use": land.where("fid = 2")}, config, str(tmp_path))
     assert again["land_use"].count() == 1
-    assert landcover.prepared(spark, {"land_use": land.limit(0)}, config, str(tmp_path), rebuild=True)["land_use"].count() == 0
-    assert landcover.prepared(spark, {"land_use": land.limit(0)}, dataclasses.replace(config, p70=300.0), str(tmp_path))["land_use"].count() == 0
+    assert landcover.prepared(spark, {"land_use": land.where("fid = 2")}, config, str(tmp_path), rebuild=True)["land_use"].count() == 0
+    assert landcover.prepared(spark, {"land_use": land.where("fid = 2")}, dataclasses.replace(config, p70=300.0), str(tmp_path))["land_use"].count() == 0
+    with pytest.raises(qa.GateError, match="no rows"):
+        landcover.prepared(spark, {"land_use": land.limit(0)}, config, str(tmp_path))
     metres = geometry.reprojected(F.lit(14.5), F.lit(45.5), 15.0)
     far = spark.range(1).select(F.lit(1).cast("long").alias("fid"), F.lit(1500).alias("raba_id"), F.array(F.struct(F.lit(0).alias("ring"), F.array(metres).alias("pts"))).alias("rings"))
     point = landcover.prepared(spark, {"land_use": far}, config, str(tmp_path), lon0=15.0)["land_use"].first().rings[0].pts[0]
