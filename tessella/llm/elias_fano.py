@@ -13,14 +13,14 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from .batches import partitions, renamed, slices, task_id
+from .batches import freed, partitions, renamed, slices, task_id
 from .store import AtomicFile, filesystem, read_range, scratch, written
 from .tokens import encoder
 
@@ -28,6 +28,7 @@ MAGIC = b"EFTOKEN1"
 SAMPLE = 256
 END_ID = 2
 READ_DOCS = 16_384
+PACKED = 1 << 16
 
 
 def ef_encode(values: np.ndarray, base: int = 0) -> tuple[dict, bytes]:
@@ -36,8 +37,9 @@ def ef_encode(values: np.ndarray, base: int = 0) -> tuple[dict, bytes]:
     n = len(v)
     top = int(v[-1]) if n else 0
     low = max(0, (top // max(n, 1)).bit_length() - 1)
-    bits = ((v[:, None] >> np.arange(low, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8) if low else np.zeros((n, 0), np.uint8)
-    lows = np.packbits(bits.reshape(-1), bitorder="little").tobytes()
+    places, lows = np.arange(low, dtype=np.uint64), b""
+    if low:  # slices of a multiple of eight values end with a byte
+        lows = b"".join(np.packbits(((v[i : i + PACKED, None] >> places) & np.uint64(1)).astype(np.uint8).reshape(-1), bitorder="little").tobytes() for i in range(0, n, PACKED))
     at = (v >> np.uint64(low)).astype(np.int64) + np.arange(n)
     unary = np.zeros(int(at[-1]) + 1 if n else 0, np.uint8)
     unary[at] = 1
@@ -47,13 +49,17 @@ def ef_encode(values: np.ndarray, base: int = 0) -> tuple[dict, bytes]:
 
 
 class EliasFano:
-    """Reads values ``i`` to ``j`` of a coded sequence, straight from its bytes."""
+    """Reads values ``i`` to ``j`` of a coded sequence, straight from the bytes that hold them: ``read(at, length)``."""
 
-    def __init__(self, head: dict, data: bytes):
-        self.h = head
-        self.lows = np.frombuffer(data, np.uint8, head["lows"])
-        self.highs = np.frombuffer(data, np.uint8, head["highs"], head["lows"])
-        self.samples = np.frombuffer(data, "<u8" if head["wide"] else "<u4", -1, head["lows"] + head["highs"])
+    def __init__(self, head: dict, read: Callable[[int, int], bytes]):
+        self.h, self.read = head, read
+
+    def sample(self, k: int) -> int:
+        """The place of the ``SAMPLE * k``-th one among the high bits; behind the last sample, where these end."""
+        width = 8 if self.h["wide"] else 4
+        if k * width >= self.h["samples"]:
+            return self.h["highs"] * 8
+        return int.from_bytes(self.read(self.h["lows"] + self.h["highs"] + k * width, width), "little")
 
     def select(self, i: int, j: int) -> np.ndarray:
         """Values i, ..., j - 1 as int64."""
@@ -62,14 +68,15 @@ class EliasFano:
         if i >= j:
             return np.zeros(0, np.int64)
         first, after = i // SAMPLE, -(-j // SAMPLE)
-        a = int(self.samples[first])
-        b = int(self.samples[after]) if after < len(self.samples) else len(self.highs) * 8
-        ones = np.flatnonzero(np.unpackbits(self.highs[a // 8 : -(-(b + 1) // 8)], bitorder="little")[a % 8 :]) + a
+        a, b = self.sample(first), self.sample(after)
+        x, y = a // 8, min(-(-(b + 1) // 8), self.h["highs"])
+        highs = np.frombuffer(self.read(self.h["lows"] + x, y - x), np.uint8)
+        ones = np.flatnonzero(np.unpackbits(highs, bitorder="little")[a % 8 :]) + a
         at = ones[i - first * SAMPLE : j - first * SAMPLE]
         out = (at - np.arange(i, j)).astype(np.uint64) << np.uint64(low)
         if low:
             x, y = i * low // 8, -(-j * low // 8)
-            bits = np.unpackbits(self.lows[x:y], bitorder="little")[i * low - x * 8 :][: (j - i) * low].reshape(-1, low).astype(np.uint64)
+            bits = np.unpackbits(np.frombuffer(self.read(x, y - x), np.uint8), bitorder="little")[i * low - x * 8 :][: (j - i) * low].reshape(-1, low).astype(np.uint64)
             out |= (bits << np.arange(low, dtype=np.uint64)).sum(1, dtype=np.uint64)
         return out.astype(np.int64) + self.h["base"]
 
@@ -90,7 +97,7 @@ class TokenFile:
         for key in ("starts", "docs"):
             head = self.foot[key]
             n = head["lows"] + head["highs"] + head["samples"]
-            parts.append(EliasFano(head, read_range(self.f, at, n)))
+            parts.append(EliasFano(head, lambda a, size, at=at: read_range(self.f, at + a, size)))
             at += n
         self.starts, self.docs = parts
 
@@ -138,7 +145,7 @@ def write_tokens(docs: DataFrame, folder: str, end_id: int = END_ID, tokenizer:
 
     keys = [F.col("doc_id").asc_nulls_first(), F.col("tie").asc(), F.col("text").asc_nulls_first()]
     dealt = renamed(docs, "doc_id", "text").withColumn("tie", F.xxhash64("text")).repartitionByRange(partitions(docs.sparkSession), *keys[:2]).sortWithinPartitions(*keys).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return written(dealt.mapInArrow(write, "file string, part long, n_docs long, n_ids long"), "manifest")
+    return written(dealt.mapInArrow(freed(write), "file string, part long, n_docs long, n_ids long"), "manifest")
 
 
 def read_tokens(manifest: DataFrame) -> DataFrame:
@@ -157,13 +164,14 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                     crcs += [zlib.crc32(ids[a:b]) for a, b in zip(starts[at:upto] - starts[at], starts[at + 1 : upto + 1] - starts[at])]
                 yield pa.RecordBatch.from_arrays([pa.array(file.doc_ids(i, j), pa.int64()), pa.array(starts[:-1] + row["base"], pa.int64()), pa.array(np.diff(starts), pa.int64()), pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    spark, base, rows = manifest.sparkSession, 0, []
+    spark, base, rows, n_ranges = manifest.sparkSession, 0, [], 0
     for x in sorted(manifest.collect(), key=lambda x: x.part):
         rows.append((x.file, x.n_docs, base))
         base += x.n_ids
+        n_ranges += -(-x.n_docs // READ_DOCS)
     files = spark.createDataFrame(rows, "file string, n_docs long, base long")
-    parts = files.select("*", F.explode(F.expr(f"sequence(0L, n_docs - 1, {READ_DOCS}L)")).alias("first")).repartition("file", "first")
-    return parts.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    parts = files.select("*", F.explode(F.expr(f"sequence(0L, n_docs - 1, {READ_DOCS}L)")).alias("first")).repartition(max(1, n_ranges))  # a task a range
+    return parts.mapInArrow(freed(read), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,12 +87,24 @@ def test_separator_scan_of_any_file(spark):
 def test_elias_fano(values, data):
     values = np.sort(np.array(values, np.int64))
     head, raw = elias_fano.ef_encode(values, int(values[0]) if len(values) else 0)
-    ef = elias_fano.EliasFano(head, raw)
+    ef = elias_fano.EliasFano(head, lambda a, n: raw[a : a + n])
     i = data.draw(st.integers(0, len(values)))
     j = data.draw(st.integers(i, len(values)))
     assert ef.select(i, j).tolist() == values[i:j].tolist()
 
 
+def test_elias_fano_in_slices(monkeypatch):
+    """Long sequences are coded in slices, and a range reads little of them."""
+    monkeypatch.setattr(elias_fano, "PACKED", 64)
+    values = np.cumsum(np.random.default_rng(2).integers(0, 3000, 5000))
+    head, raw = elias_fano.ef_encode(values)
+    got = []
+    ef = elias_fano.EliasFano(head, lambda a, n: got.append(n) or raw[a : a + n])
+    assert ef.select(0, 5000).tolist() == values.tolist()
+    got.clear()
+    assert ef.select(2000, 2010).tolist() == values[2000:2010].tolist() and sum(got) < len(raw) / 10
+
+
 def test_elias_fano_is_small():
     values = np.sort(np.random.default_rng(1).integers(0, 10**6, 20_000))
     assert len(elias_fano.ef_encode(values)[1]) * 8 < 20_000 * (2 + np.log2(50) + 1)
