@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession, Window
 
-from .batches import renamed, slices, task_id
+from .batches import freed, partitions, renamed, slices, task_id
 from .store import AtomicFile, filesystem, scratch, written
 from .tokens import encoder
 
@@ -31,7 +31,7 @@ def write_flat(docs: DataFrame, folder: str, separator: int = SEPARATOR, tokeniz
     """Encodes ``docs (doc_id, text)`` into flat files of little-endian uint16 ids, one file a partition.
 
     Returns the key table ``file, ordinal, doc_id``: the order of documents in each file. The ids of a text never
-    hold the separator, as special tokens' strings are encoded as ordinary text.
+    hold the separator, as special tokens' strings are encoded as ordinary text. A vocabulary over 2^16 raises an error.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -40,7 +40,10 @@ def write_flat(docs: DataFrame, folder: str, separator: int = SEPARATOR, tokeniz
         name, out, ordinal = f"{folder}/tokens-{task_id():06d}.bin", None, 0
         for batch in batches:
             for part in slices(batch, "text"):
-                out = out or AtomicFile(name)
+                if out is None:
+                    if max(encoder(tokenizer).tokenizer.get_vocab_size(), separator + 1) > 1 << 16:
+                        raise ValueError("flat files hold ids below 65536")
+                    out = AtomicFile(name)
                 ids, offsets = encoder(tokenizer).encode(part.column("text"))
                 out.write(np.insert(ids, offsets[1:], separator).astype("<u2").tobytes())
                 n = part.num_rows
@@ -49,7 +52,7 @@ def write_flat(docs: DataFrame, folder: str, separator: int = SEPARATOR, tokeniz
         if out:
             out.commit()
 
-    return written(renamed(docs, "doc_id", "text").mapInArrow(write, "file string, ordinal long, doc_id long"), "flat-keys")
+    return written(renamed(docs, "doc_id", "text").mapInArrow(freed(write), "file string, ordinal long, doc_id long"), "flat-keys")
 
 
 def scan_separators(files: DataFrame, separator: int = SEPARATOR, width: int = 2, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -71,18 +74,19 @@ def scan_separators(files: DataFrame, separator: int = SEPARATOR, width: int = 2
 
     sized = files.where("bytes > 0")
     blocks = sized.select("file", "bytes", F.posexplode(F.expr(f"sequence(0L, bytes - 1, {block_bytes}L)")).alias("block", "at")).withColumn("block", F.col("block").cast("long"))
-    found = written(blocks.repartition("file", "block").mapInArrow(search, "file string, block long, n long, last long, ends array<long>"), "scan-blocks").withColumn("super", F.expr(f"block div {SUPER}"))
+    found = written(blocks.repartition(partitions(files.sparkSession), "file", "block").mapInArrow(freed(search), "file string, block long, n long, last long, ends array<long>"), "scan-blocks").withColumn("super", F.expr(f"block div {SUPER}"))
     inner = Window.partitionBy("file", "super").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     outer = Window.partitionBy("file").orderBy("super").rowsBetween(Window.unboundedPreceding, -1)
     supers = found.groupBy("file", "super").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
     supers = supers.select("file", "super", F.coalesce(F.sum("n").over(outer), F.lit(0)).alias("n0"), F.max("last").over(outer).alias("last0"))
     stitched = (
-        found.select("*", F.coalesce(F.sum("n").over(inner), F.lit(0)).alias("n1"), F.max("last").over(inner).alias("last1"))
+        found.select("file", "super", "block", "n", F.coalesce(F.sum("n").over(inner), F.lit(0)).alias("n1"), F.max("last").over(inner).alias("last1"))
         .where("n > 0")
         .join(supers, ["file", "super"])
-        .select("file", (F.col("n0") + F.col("n1")).alias("base"), F.coalesce("last1", "last0", F.lit(0)).alias("carry"), "ends")
+        .select("file", "block", (F.col("n0") + F.col("n1")).alias("base"), F.coalesce("last1", "last0", F.lit(0)).alias("carry"))
     )
-    whole = stitched.select("file", "base", "carry", "ends", F.posexplode("ends").alias("k", "end")).select(
+    # the scan sees counts only; the separators' places meet theirs block by block
+    whole = found.where("n > 0").select("file", "block", "ends").join(written(stitched, "scan-stitched"), ["file", "block"]).select("file", "base", "carry", "ends", F.posexplode("ends").alias("k", "end")).select(
         "file", (F.col("base") + F.col("k")).alias("ordinal"), F.expr("if(k = 0, carry, ends[k - 1])").alias("start"), "end"
     )
     tails = (
