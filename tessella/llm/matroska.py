@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .batches import renamed, slices
+from .batches import freed, renamed, slices
 from .store import written
 
 FRAME = 576
@@ -264,7 +264,7 @@ def media_table(docs: DataFrame) -> DataFrame:
                 texts = [(x or "").encode() for x in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(map(len, texts), pa.int64()), pa.array([mux(padded(x)) for x in texts], pa.binary())], ["doc_id", "n_bytes", "media"])
 
-    return renamed(docs, "doc_id", "text").mapInArrow(store, "doc_id long, n_bytes long, media binary")
+    return renamed(docs, "doc_id", "text").mapInArrow(freed(store), "doc_id long, n_bytes long, media binary")
 
 
 def packet_table(media: DataFrame) -> DataFrame:
@@ -282,7 +282,7 @@ def packet_table(media: DataFrame) -> DataFrame:
                     rows += [(doc, *p, (p[2], p[1]) in cued) for p in m.packets]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 8, types)], names)
 
-    return renamed(media, "doc_id", "media").mapInArrow(packets, "doc_id long, track long, timestamp_ns long, cluster long, keyframe boolean, start long, length long, cued boolean")
+    return renamed(media, "doc_id", "media").mapInArrow(freed(packets), "doc_id long, track long, timestamp_ns long, cluster long, keyframe boolean, start long, length long, cued boolean")
 
 
 def features(data: bytes, media: Media, payload: bytes) -> str:
@@ -312,7 +312,7 @@ def media_features(media: DataFrame) -> DataFrame:
                     rows.append((doc, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(data), hashlib.sha256(data).hexdigest(), features(data, m, payload)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 8, schema)], schema=schema)
 
-    return media.mapInArrow(digest, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return media.mapInArrow(freed(digest), "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
 
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
