@@ -14,7 +14,7 @@ from ..config import ElevationConfig, fingerprint, split_name
 from ..functions import scalar as S
 from ..functions import tiles as T
 from ..operators import planning, qa, resample
-from ..sources import imagery, rasters
+from ..sources import imagery, rasters, tables
 from ..streaming import ingest
 
 
@@ -151,10 +151,13 @@ def run(spark: SparkSession, config: ElevationConfig, folder: str, load: Callabl
         qa.gate_storage(manifest, z.select("tile").distinct())
     if config.stage in ("compare", "all"):
         out["comparison"] = compare(spark, z, reference, config, gt=gt)
+        _report(out["comparison"].orderBy("tile"), f"{folder}/comparison.csv")
     if config.stage in ("split", "all"):
         out["pieces"] = write_pieces(z, config, folder)
     if config.stage in ("split", "split-qa", "all"):
         out["split_mismatches"], out["seams"], out["split_totals"] = check_pieces(spark, config, folder)
+        for name, keys in (("split_mismatches", ["tile", "piece_row", "piece_col"]), ("seams", ["tile", "row", "col", "side"]), ("split_totals", ["tile"])):
+            _report(out[name].orderBy(*keys), f"{folder}/{name}.csv")
     if config.stage in ("split", "all"):
         paths = [f"{folder}/{piece_folder(config)}/{x.name}.bil" for x in pieces_of(spark, config).select("name").collect()]
         rasters.write_mosaic(f"{folder}/{piece_folder(config)}.vrt", {p: rasters.header_bounds(p) | {"step": 1 / config.pixels} for p in paths}, required=True)
@@ -164,6 +167,10 @@ def run(spark: SparkSession, config: ElevationConfig, folder: str, load: Callabl
     return out
 
 
+def _report(rows: DataFrame, path: str) -> None:
+    tables.write_report([x.asDict() for x in rows.collect()], path)  # a row a tile, piece or seam
+
+
 def tile_folder(config: ElevationConfig, folder: str) -> str:
     return f"{folder}/{config.label}_BIL"
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +14,7 @@ from ..config import LandCoverConfig, fingerprint, pixels_per_degree
 from ..functions import scalar as S
 from ..functions import tiles as T
 from ..operators import blocks, fill, focal, geometry, majority, overlay, planning, qa, quantile, resample
+from ..sources import rasters, tables
 
 
 def prepare_stands(stands: DataFrame, p70: float | None = dims.FOREST_P70) -> DataFrame:
@@ -215,6 +216,37 @@ def warped_mask(raster: DataFrame, gt: tuple[float, float, float, float], tiles:
     return met.select("tile", (F.col("y") + n - F.col("j")).cast("int").alias("r"), (F.col("i") - F.col("x")).cast("int").alias("c")).distinct()
 
 
+def write(spark: SparkSession, result: LandCover, config: LandCoverConfig, folder: str) -> dict[str, str | None]:
+    """All outputs of a build that passes its gates, by name: byte grids, RF profile, documentation, report by tile, and if asked for status and class rasters with their mosaics.
+
+    ``folder`` is one that all executors share. What comes to the driver has a row a tile.
+    """
+    side = pixels_per_degree(config.arcsec) + 1
+    step = 1 / (side - 1)
+    check(result)
+
+    def place(tile: str) -> tuple[float, float, float]:
+        lat, lon = T.corner_of(tile)
+        return lon - step / 2, lat + 1 + step / 2, step
+
+    grids = rasters.write_raster_files(outputs(result, side), f"{folder}/lcv", side, side)
+    qa.gate_file_size(spark.createDataFrame(grids.collect(), grids.schema), side * side)
+    out: dict[str, str | None] = {"grids": f"{folder}/lcv", "profile": f"{folder}/lcv/landheight.dat", "report": f"{folder}/qa_by_tile.csv", "documentation": f"{folder}/doc"}
+    tables.write_rf_profile(spark, f"{folder}/lcv/landheight.dat")
+    tables.write_documentation(spark, f"{folder}/doc", asdict(config), config.thresholds)
+    tables.write_report([x.asDict() for x in result.counters.join(result.histogram, "tile").orderBy("tile").collect()], f"{folder}/qa_by_tile.csv")
+    for name, value, wanted in (("status", "status", config.qa), ("preview", "cls", config.preview)):
+        if wanted:
+            rows = blocks.raster_rows(blocks.to_blocks(result.cells.select("tile", "r", "c", F.col(value).cast("int").alias("cls")), side, side, config.block_size))
+            made = rasters.write_geotiffs(rows, f"{folder}/{name}", side, side, place, dims.NODATA).collect()
+            files = [{"path": x.path, "west": place(x.tile)[0], "north": place(x.tile)[1], "step": step, "width": side, "height": side} for x in made]
+            text = rasters.mosaic_xml(files, "Byte", dims.NODATA)
+            out[name] = text and f"{folder}/{name}.vrt"
+            if text:
+                tables.write_text(f"{folder}/{name}.vrt", text)
+    return out
+
+
 def is_inside(mask_value: Column, nodata: float = 0.0) -> Column:
     """A mask cell counts if it has data."""
     return mask_value.isNotNull() & (mask_value != nodata)

@@ -97,6 +97,32 @@ def write_raster_files(rows: DataFrame, folder: str, n_rows: int, n_bytes: int,
     return dealt.mapInArrow(run, "tile string, path string, length long")
 
 
+def write_geotiffs(rows: DataFrame, folder: str, n_rows: int, n_cols: int, place: Callable[[str], tuple[float, float, float]], nodata: float | None = None, suffix: str = ".tif") -> DataFrame:
+    """One byte GeoTIFF a tile from ``rows (tile, r, data)``; ``place`` gives a tile's (west, north, cell). Returns ``tile, path, length``; missing rows raise. A task holds one tile."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, held = None, []
+
+        def close() -> pa.RecordBatch:
+            if len(held) != n_rows or any(len(x) != n_cols for x in held):
+                raise ValueError(f"{tile}: {len(held)} rows of {n_rows}, or rows of another length")
+            path = f"{folder}/{tile}{suffix}"
+            size = _commit(path, [geotiff(np.frombuffer(b"".join(held), np.uint8).reshape(n_rows, n_cols), *place(tile), nodata)])
+            return pa.RecordBatch.from_pylist([{"tile": tile, "path": path, "length": size}])
+
+        for t, data in ((t, d) for b in batches for t, d in zip(b.column(0).to_pylist(), b.column(2).to_pylist())):
+            if t != tile:
+                if held:
+                    yield close()
+                tile, held = t, []
+            held.append(data)
+        if held:
+            yield close()
+
+    dealt = rows.select("tile", "r", "data").repartition("tile").sortWithinPartitions("tile", "r")
+    return dealt.mapInArrow(run, "tile string, path string, length long")
+
+
 def int16_rows(cells: DataFrame, n_cols: int, nodata: int = dims.ELEVATION_NODATA, band: int = 64) -> DataFrame:
     """``tile, r, data``: little-endian 16-bit rows of ``cells (tile, r, c, z)``; null and missing cells have ``nodata``. A task holds ``band`` rows."""
 

@@ -44,7 +44,7 @@ FOREST_PRIOR = {
 STALE = "RF_CALIBRATION_PENDING_*.txt"
 
 
-def _write(path: str, text: str, encoding: str = "utf-8") -> None:
+def write_text(path: str, text: str, encoding: str = "utf-8") -> None:
     os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
     temp = f"{path}.{uuid.uuid4().hex}.part"
     with open(temp, "w", encoding=encoding, newline="") as f:
@@ -61,7 +61,7 @@ def write_report(rows: list[dict], path: str, columns: list[str] | None = None)
     writer = csv.DictWriter(out, columns, restval="", delimiter=";", extrasaction="ignore", lineterminator="\n")
     writer.writeheader()
     writer.writerows({k: "" if v is None else v for k, v in r.items()} for r in rows)
-    _write(path, out.getvalue(), "utf-8-sig")
+    write_text(path, out.getvalue(), "utf-8-sig")
     return True
 
 
@@ -76,7 +76,7 @@ def rf_lines(spark: SparkSession) -> DataFrame:
 
 
 def write_rf_profile(spark: SparkSession, path: str) -> None:
-    _write(path, "".join(f"{r.line}\n" for r in rf_lines(spark).collect()))  # 15 rows
+    write_text(path, "".join(f"{r.line}\n" for r in rf_lines(spark).collect()))  # 15 rows
 
 
 def write_documentation(spark: SparkSession, folder: str, config: dict, thresholds: dict[int, float] = dims.CLASS_THRESHOLDS) -> None:
@@ -87,4 +87,4 @@ def write_documentation(spark: SparkSession, folder: str, config: dict, threshol
     write_report([{"class": c, "stands": n, "area_ha": a, "area_pct": p, "lzha_mean": m} for c, (n, a, p, m) in FOREST_PRIOR.items()], f"{folder}/forest_prior.csv")
     for x in glob.glob(f"{glob.escape(folder)}/{STALE}"):
         os.remove(x)
-    _write(f"{folder}/metadata.json", json.dumps(config, indent=1, sort_keys=True, default=str))
+    write_text(f"{folder}/metadata.json", json.dumps(config, indent=1, sort_keys=True, default=str))

@@ -248,6 +248,8 @@ def test_elevation_build(spark, tmp_path):
     with pytest.raises(Exception, match="other_options"):
         elevation.build(spark, ElevationConfig(tiles=("N45E014",), arcsec=180.0, interpolation="cubic"), str(tmp_path / "out"), load)
     assert elevation.piece_folder(config) == "180arcsec_SPLIT_4x4"
+    reports = {x.name: len(x.read_text().splitlines()) for x in (tmp_path / "out").glob("*.csv")}
+    assert reports == {"comparison.csv": 2, "split_mismatches.csv": 17, "seams.csv": 25, "split_totals.csv": 2}
     assert out["split_totals"].first()[:] == ("N45E014", 16, 400, 0, 0) and out["pieces"].count() == 16 and out["seams"].count() == 24
     # a damaged piece is found, and so is a missing one
     piece = tmp_path / "out" / elevation.piece_folder(config) / "N45E014_q0102.bil"
@@ -311,6 +313,14 @@ def test_landcover_build(spark, tmp_path):
         landcover.check(wrong)
     files = rasters.write_raster_files(landcover.outputs(got, 11, 4), str(tmp_path / "lcv"), 11, 11).collect()
     assert {x.length for x in files} == {121}
+    out = landcover.write(spark, got, config, str(tmp_path / "out"))
+    assert sorted(x.name for x in (tmp_path / "out").iterdir()) == ["doc", "lcv", "preview", "preview.vrt", "qa_by_tile.csv", "status", "status.vrt"]
+    assert sorted(x.name for x in (tmp_path / "out/lcv").iterdir()) == ["N45E014.lcv", "N46E014.lcv", "landheight.dat"]
+    x = rasters.read_geotiff((tmp_path / "out/preview/N45E014.tif").read_bytes())
+    assert {(r, c): int(x["data"][r, c]) for r, c in np.ndindex(11, 11)} == {(r, c): v for (t, r, c), v in cls.items() if t == "N45E014"} and abs(x["gt"][0] - 13.95) < 1e-12
+    assert (tmp_path / "out/lcv/N45E014.lcv").read_bytes() == x["data"].tobytes()
+    codes = rasters.read_geotiff((tmp_path / "out/status/N46E014.tif").read_bytes())["data"]
+    assert set(codes.ravel().tolist()) == {255} and out["report"].endswith("qa_by_tile.csv") and len((tmp_path / "out/qa_by_tile.csv").read_text().splitlines()) == 3
 
 
 def test_masks(spark):
