@@ -26,7 +26,7 @@ from .store import written
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
-SALT_ROWS = 4096
+SALT_ROWS = 2048
 BROADCAST_ROWS = 300_000
 STEPS = 60
 WORDS = r"[^\x20\x09-\x0D]+"
